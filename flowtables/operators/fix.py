@@ -42,11 +42,10 @@ def _is_type(raw: Column, msg_type: str) -> Column:
     return raw.contains(X.SOH + pair) | raw.startswith(pair)
 
 
-def _lookup(pairs: Column, wanted: Sequence[int]) -> Column:
-    """Map from tag to its first value, for the wanted tags."""
-    numbers = F.transform(pairs, lambda t: t["tag"])
+def _lookup(wanted: Sequence[int]) -> Column:
+    """Map from tag to its first value, over ``_tags`` and ``_numbers``."""
     first = F.filter(
-        pairs, lambda t, i: t["tag"].isin(*wanted) & (F.array_position(numbers, t["tag"]) == i + 1)
+        "_tags", lambda t, i: t["tag"].isin(*wanted) & (F.array_position(F.col("_numbers"), t["tag"]) == i + 1)
     )
     return F.map_from_entries(first)
 
@@ -59,33 +58,36 @@ def _typed(value: Column, kind: str) -> Column:
     return value.try_cast(kind)
 
 
-def groups(pairs: Column, count_tag: int, fields: Sequence[Field]) -> Column:
-    """Repeating group as an array of structs.
+def with_group(df: DataFrame, count_tag: int, fields: Sequence[Field], name: str) -> DataFrame:
+    """Add a repeating group as an array of structs.
 
     A group entry starts at the first field of the table and ends before the
-    next start. At most as many entries as the count field says.
+    next start. At most as many entries as the count field says. Needs ``_tags``
+    and ``_numbers``; each step is a column, so none is worked out per element.
     """
-    first = fields[0].tag
-    numbers = F.transform(pairs, lambda t: t["tag"])
+    pairs, numbers = F.col("_tags"), F.col("_numbers")
     head = F.array_position(numbers, F.lit(count_tag))
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1))),
-        lambda i: (i > head) & (F.get(numbers, i - 1) == first),
-    )
     declared = F.get(pairs, (head - 1).cast("int"))["val"].try_cast("int")
-    starts = F.slice(starts, F.lit(1), F.least(F.size(starts), F.coalesce(declared, F.lit(0))))
+    df = with_columns_once(df, {"_head": head, "_declared": F.coalesce(declared, F.lit(0))})
+    positions = F.transform(numbers, lambda n, i: F.when(n == fields[0].tag, i + 1))
+    found = F.filter(positions, lambda p: p > F.col("_head"))
+    df = with_columns_once(df, {
+        "_starts": F.when(F.col("_head") > 0, F.slice(found, F.lit(1), F.col("_declared"))).otherwise(
+            F.array().cast("array<int>"))
+    })
 
-    def entry(start: Column, j: Column) -> Column:
-        stop = F.coalesce(F.get(starts, j + 1), F.size(pairs) + 1)
-        part = F.slice(pairs, start, stop - start)
+    def part(start: Column, j: Column) -> Column:
+        return F.slice(pairs, start, F.coalesce(F.get("_starts", j + 1), F.size(pairs) + 1) - start)
 
+    def entry(pairs_of_one: Column) -> Column:
         def value(f: Field) -> Column:
-            found = F.try_element_at(F.filter(part, lambda t: t["tag"] == f.tag), F.lit(1))
+            found = F.try_element_at(F.filter(pairs_of_one, lambda t: t["tag"] == f.tag), F.lit(1))
             return _typed(found["val"], f.type).alias(f.name)
 
         return F.struct(*[value(f) for f in fields])
 
-    return F.when(head > 0, F.transform(starts, entry)).otherwise(F.array())
+    df = with_columns_once(df, {"_parts": F.transform("_starts", part)})
+    return with_columns_once(df, {name: F.transform("_parts", entry)}).drop("_head", "_declared", "_starts", "_parts")
 
 
 def _timestamp(text: Column) -> Column:
@@ -123,7 +125,8 @@ def _has_bad_value(pairs: Column, fields: Sequence[Field]) -> Column:
 def _parse(df: DataFrame) -> DataFrame:
     """Route the messages and keep ``_tags`` and ``_map``, each built once."""
     df = with_columns_once(df, {"_tags": tags(F.col("raw"))})
-    df = with_columns_once(df, {"_map": _lookup(F.col("_tags"), WANTED)})
+    df = with_columns_once(df, {"_numbers": F.transform("_tags", lambda t: t["tag"])})
+    df = with_columns_once(df, {"_map": _lookup(WANTED)})
 
     def text(tag: int) -> Column:
         return F.try_element_at(F.col("_map"), F.lit(tag))
@@ -157,7 +160,7 @@ def route(df: DataFrame) -> DataFrame:
     is a failure, as is a report without its mandatory fields or with a value of
     the wrong type.
     """
-    return _parse(df).drop("_tags", "_map")
+    return _parse(df).drop("_tags", "_numbers", "_map")
 
 
 def failures(df: DataFrame) -> DataFrame:
@@ -195,7 +198,8 @@ def _report(
         out.append(F.concat(F.date_format(sent, "yyyy-MM-dd'T'HH:mm"), seconds).alias("TransactTime"))
     if group:
         name, count_tag, members = group
-        out.append(groups(F.col("_tags"), count_tag, members).alias(name))
+        df = with_group(df, count_tag, members, name)
+        out.append(F.col(name))
     id_tag = next(f.tag for f in fields if f.name == id_field)
     out.append(F.concat_ws(":", text(X.MSG_SEQ_NUM), F.coalesce(text(id_tag), F.lit("null"))).alias("Id"))
     if drop_time:

@@ -227,7 +227,8 @@ def _row_changes(spark, sf_dir) -> DataFrame:
 
 
 def mssql_changes(spark, sf_dir):
-    cells = F.arrays_zip("columns", "types", "data", "before")
+    before = F.coalesce("before", F.array().cast("array<string>"))
+    cells = F.arrays_zip("columns", "types", "data", before.alias("before"))
     return _row_changes(spark, sf_dir).select("seq", "operation", "trxDate", F.posexplode(cells).alias("idx", "c")).select(
         "seq", "operation", "trxDate", "idx", F.col("c.columns").alias("name"), F.col("c.types").alias("type"),
         F.col("c.data").alias("value"), F.col("c.before").alias("before_value"),
