@@ -7,6 +7,7 @@ kept. A message type is described by a field table, so a new type is data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -42,12 +43,16 @@ def _is_type(raw: Column, msg_type: str) -> Column:
     return raw.contains(X.SOH + pair) | raw.startswith(pair)
 
 
-def _lookup(wanted: Sequence[int]) -> Column:
-    """Map from tag to its first value, over ``_tags`` and ``_numbers``."""
-    first = F.filter(
-        "_tags", lambda t, i: t["tag"].isin(*wanted) & (F.array_position(F.col("_numbers"), t["tag"]) == i + 1)
-    )
-    return F.map_from_entries(first)
+def _text(message: Column, tag: int) -> Column:
+    """Value of a tag in a message that starts with SOH; null when absent.
+
+    Plain text search: it stays in generated code and needs no regular
+    expression. A field repeats only inside groups; if one does elsewhere, its
+    last value counts.
+    """
+    mark = f"{X.SOH}{tag}="
+    found = F.substring_index(F.substring_index(message, mark, -1), X.SOH, 1)
+    return F.when(message.contains(mark), found)
 
 
 def _typed(value: Column, kind: str) -> Column:
@@ -58,36 +63,27 @@ def _typed(value: Column, kind: str) -> Column:
     return value.try_cast(kind)
 
 
-def with_group(df: DataFrame, count_tag: int, fields: Sequence[Field], name: str) -> DataFrame:
-    """Add a repeating group as an array of structs.
+def group_texts(message: Column, count_tag: int, fields: Sequence[Field]) -> Column:
+    """Repeating group as an array of structs of texts.
 
     A group entry starts at the first field of the table and ends before the
-    next start. At most as many entries as the count field says. Needs ``_tags``
-    and ``_numbers``; each step is a column, so none is worked out per element.
+    next start. At most as many entries as the count field says.
     """
-    pairs, numbers = F.col("_tags"), F.col("_numbers")
-    head = F.array_position(numbers, F.lit(count_tag))
-    declared = F.get(pairs, (head - 1).cast("int"))["val"].try_cast("int")
-    df = with_columns_once(df, {"_head": head, "_declared": F.coalesce(declared, F.lit(0))})
-    positions = F.transform(numbers, lambda n, i: F.when(n == fields[0].tag, i + 1))
-    found = F.filter(positions, lambda p: p > F.col("_head"))
-    df = with_columns_once(df, {
-        "_starts": F.when(F.col("_head") > 0, F.slice(found, F.lit(1), F.col("_declared"))).otherwise(
-            F.array().cast("array<int>"))
-    })
+    start = f"{X.SOH}{fields[0].tag}="
+    after = F.substring_index(message, f"{X.SOH}{count_tag}=", -1)
+    declared = F.greatest(F.coalesce(F.substring_index(after, X.SOH, 1).try_cast("int"), F.lit(0)), F.lit(0))
+    entries = F.slice(F.split(after, start), F.lit(2), declared)
 
-    def part(start: Column, j: Column) -> Column:
-        return F.slice(pairs, start, F.coalesce(F.get("_starts", j + 1), F.size(pairs) + 1) - start)
+    def entry(rest: Column) -> Column:
+        one = F.concat(F.lit(start), rest)
+        return F.struct(*[_text(one, f.tag).alias(f.name) for f in fields])
 
-    def entry(pairs_of_one: Column) -> Column:
-        def value(f: Field) -> Column:
-            found = F.try_element_at(F.filter(pairs_of_one, lambda t: t["tag"] == f.tag), F.lit(1))
-            return _typed(found["val"], f.type).alias(f.name)
+    has_group = message.contains(f"{X.SOH}{count_tag}=")
+    return F.transform(F.when(has_group, entries).otherwise(F.array().cast("array<string>")), entry)
 
-        return F.struct(*[value(f) for f in fields])
 
-    df = with_columns_once(df, {"_parts": F.transform("_starts", part)})
-    return with_columns_once(df, {name: F.transform("_parts", entry)}).drop("_head", "_declared", "_starts", "_parts")
+def _typed_group(texts: Column, fields: Sequence[Field]) -> Column:
+    return F.transform(texts, lambda g: F.struct(*[_typed(g[f.name], f.type).alias(f.name) for f in fields]))
 
 
 def _timestamp(text: Column) -> Column:
@@ -103,53 +99,69 @@ def local_time(text: Column, hours: int = 0, zone: str | None = None) -> Column:
     return F.from_utc_timestamp(stamp, zone) if zone else stamp + F.make_dt_interval(hours=F.lit(hours))
 
 
+class Report(NamedTuple):
+    kind: str
+    fields: tuple[Field, ...]
+    id_field: str
+    has_transact_time: bool
+    group: tuple[str, int, tuple[Field, ...]] | None
+
+
 REPORTS = {
-    X.EXECUTION_REPORT: ("execution", (*X.EXECUTION_FIELDS, *X.LEG_FIELDS)),
-    X.TRADE_CAPTURE_REPORT: ("trade", (*X.TRADE_FIELDS, *X.SIDE_FIELDS)),
-    X.QUOTE_STATUS_REPORT: ("quote", X.QUOTE_FIELDS),
+    X.EXECUTION_REPORT: Report("execution", X.EXECUTION_FIELDS, "OrderID", True, ("NoLegs", X.NO_LEGS, X.LEG_FIELDS)),
+    X.TRADE_CAPTURE_REPORT: Report("trade", X.TRADE_FIELDS, "TradeID", True, ("NoSides", X.NO_SIDES, X.SIDE_FIELDS)),
+    X.QUOTE_STATUS_REPORT: Report("quote", X.QUOTE_FIELDS, "QuoteID", False, None),
 }
-HEADER = (X.MSG_TYPE, X.MSG_SEQ_NUM, X.SENDING_TIME, X.TRANSACT_TIME, X.TEXT)
-WANTED = sorted({*HEADER} | {f.tag for _, fields in REPORTS.values() for f in fields})
 
 
-def _has_bad_value(pairs: Column, fields: Sequence[Field]) -> Column:
-    """True when a typed field holds text of another type."""
-    bad = F.lit(False)
-    for kind in ("double", "int", "boolean"):
-        numbers = [f.tag for f in fields if f.type == kind]
-        if numbers:
-            bad = bad | F.exists(pairs, lambda t: t["tag"].isin(*numbers) & _typed(t["val"], kind).isNull())
-    return bad
+def _wrong_type(text: Column, kind: str) -> Column:
+    return text.isNotNull() & _typed(text, kind).isNull()
 
 
-def _parse(df: DataFrame) -> DataFrame:
-    """Route the messages and keep ``_tags`` and ``_map``, each built once."""
-    df = with_columns_once(df, {"_tags": tags(F.col("raw"))})
-    df = with_columns_once(df, {"_numbers": F.transform("_tags", lambda t: t["tag"])})
-    df = with_columns_once(df, {"_map": _lookup(WANTED)})
+def _found(tag: int) -> Column:
+    return F.col(f"_t{tag}")
 
-    def text(tag: int) -> Column:
-        return F.try_element_at(F.col("_map"), F.lit(tag))
 
-    kind = text(X.MSG_TYPE)
-    no_seq = kind.isin(*REPORTS) & text(X.MSG_SEQ_NUM).try_cast("int").isNull()
-    needs_time = kind.isin(X.EXECUTION_REPORT, X.TRADE_CAPTURE_REPORT)
-    time_text = text(X.TRANSACT_TIME)
+def _classify(df: DataFrame, codes: Sequence[str], all_fields: bool) -> DataFrame:
+    """Add the texts of the fields (``_t<tag>``), the groups (``_g<tag>``), and
+    ``msg_type``, ``kind``, ``error_code``, ``error_text``."""
+    reports = {code: REPORTS[code] for code in codes}
+    fields = {f.tag for r in reports.values() for f in r.fields if all_fields or f.type != "string"}
+    header = {X.MSG_TYPE, X.MSG_SEQ_NUM, X.SENDING_TIME, X.TRANSACT_TIME, X.TEXT}
+    df = df.withColumn("_m", F.concat(F.lit(X.SOH), "raw"))
+    df = df.withColumns({f"_t{tag}": _text(F.col("_m"), tag) for tag in sorted(fields | header)})
+    groups = {f"_g{r.group[1]}": group_texts(F.col("_m"), *r.group[1:]) for r in reports.values() if r.group}
+    if groups:
+        df = with_columns_once(df, groups)
+
+    kind = _found(X.MSG_TYPE)
+    timed = [code for code, r in reports.items() if r.has_transact_time]
+    needs_time = kind.isin(*timed) if timed else F.lit(False)
+    time_text = _found(X.TRANSACT_TIME)
+    missing = kind.isNull() | (needs_time & time_text.isNull()) | (
+        kind.isin(*reports) & _found(X.MSG_SEQ_NUM).try_cast("int").isNull())
     bad = needs_time & _timestamp(time_text).isNull()
     name = F.lit("dropped")
-    for code, (report, fields) in REPORTS.items():
-        bad = bad | ((kind == code) & _has_bad_value(F.col("_tags"), fields))
-        name = F.when(kind == code, report).otherwise(name)
+    for code, r in reports.items():
+        wrong = F.lit(False)
+        for f in r.fields:
+            if f.type != "string":
+                wrong = wrong | _wrong_type(_found(f.tag), f.type)
+        if r.group:
+            typed = [f for f in r.group[2] if f.type != "string"]
+            for f in typed:
+                wrong = wrong | F.exists(f"_g{r.group[1]}", lambda g: _wrong_type(g[f.name], f.type))
+        bad = bad | ((kind == code) & wrong)
+        name = F.when(kind == code, r.kind).otherwise(name)
     error = (
-        F.when(kind.isNull() | no_seq | (needs_time & time_text.isNull()), MISSING)
-        .when(bad, BAD_VALUE)
-        .when((kind == X.LOGOUT) & text(X.TEXT).isNotNull(), X.LOGON_ERROR)
+        F.when(missing, MISSING).when(bad, BAD_VALUE)
+        .when((kind == X.LOGOUT) & _found(X.TEXT).isNotNull(), X.LOGON_ERROR)
     )
-    return with_columns_once(df, {
+    df = with_columns_once(df, {"error_code": error})
+    return df.withColumns({
         "msg_type": kind,
-        "kind": F.when(error.isNotNull(), "failure").otherwise(name),
-        "error_code": error,
-        "error_text": F.when(kind == X.LOGOUT, text(X.TEXT)),
+        "kind": F.when(F.col("error_code").isNotNull(), "failure").otherwise(name),
+        "error_text": F.when(kind == X.LOGOUT, _found(X.TEXT)),
     })
 
 
@@ -160,7 +172,8 @@ def route(df: DataFrame) -> DataFrame:
     is a failure, as is a report without its mandatory fields or with a value of
     the wrong type.
     """
-    return _parse(df).drop("_tags", "_numbers", "_map")
+    out = _classify(df, list(REPORTS), all_fields=False)
+    return out.select(*df.columns, "msg_type", "kind", "error_code", "error_text")
 
 
 def failures(df: DataFrame) -> DataFrame:
@@ -168,62 +181,52 @@ def failures(df: DataFrame) -> DataFrame:
     return route(df).where("kind = 'failure'").drop("kind")
 
 
-def _report(
-    df: DataFrame, kind: str, msg_type: str, fields: Sequence[Field], id_field: str,
-    group: tuple[str, int, Sequence[Field]] | None, shifted_time: bool,
-    hours: int, zone: str | None, drop_time: bool,
-) -> DataFrame:
+def _report(df: DataFrame, code: str, hours: int, zone: str | None, drop_time: bool) -> DataFrame:
+    report = REPORTS[code]
     keep = [c for c in df.columns if c != "raw"]
     # messages of other types leave before they are parsed
-    df = _parse(df.where(_is_type(F.col("raw"), msg_type))).where(F.col("kind") == kind)
-
-    def text(tag: int) -> Column:
-        return F.try_element_at(F.col("_map"), F.lit(tag))
+    df = _classify(df.where(_is_type(F.col("raw"), code)), [code], all_fields=True)
+    df = df.where(F.col("error_code").isNull())
 
-    out = [F.lit(msg_type).alias("MsgType")]
-    out += [_typed(text(f.tag), f.type).alias(f.name) for f in fields]
-    if shifted_time:
-        stamp = local_time(text(X.TRANSACT_TIME), hours, zone)
+    out = [F.lit(code).alias("MsgType")]
+    out += [_typed(_found(f.tag), f.type).alias(f.name) for f in report.fields]
+    if report.has_transact_time:
+        stamp = local_time(_found(X.TRANSACT_TIME), hours, zone)
         out += [
             F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("TransactTime"),
             F.date_format(stamp, "yyyy-MM-dd").alias("TransactDate"),
         ]
     else:
-        sent = _timestamp(text(X.SENDING_TIME))
+        sent = _timestamp(_found(X.SENDING_TIME))
         fraction = F.date_format(sent, ".SSS")
-        # as java.time prints it: no fraction and no seconds when they are zero
+        # no fraction, and no seconds, when they are zero
         seconds = F.when((fraction == ".000") & (F.second(sent) == 0), "").otherwise(
             F.concat(F.date_format(sent, ":ss"), F.when(fraction == ".000", "").otherwise(fraction))
         )
         out.append(F.concat(F.date_format(sent, "yyyy-MM-dd'T'HH:mm"), seconds).alias("TransactTime"))
-    if group:
-        name, count_tag, members = group
-        df = with_group(df, count_tag, members, name)
-        out.append(F.col(name))
-    id_tag = next(f.tag for f in fields if f.name == id_field)
-    out.append(F.concat_ws(":", text(X.MSG_SEQ_NUM), F.coalesce(text(id_tag), F.lit("null"))).alias("Id"))
+    if report.group:
+        name, count_tag, members = report.group
+        out.append(_typed_group(F.col(f"_g{count_tag}"), members).alias(name))
+    id_tag = next(f.tag for f in report.fields if f.name == report.id_field)
+    out.append(F.concat_ws(":", _found(X.MSG_SEQ_NUM), F.coalesce(_found(id_tag), F.lit("null"))).alias("Id"))
     if drop_time:
         out.append(F.current_timestamp().cast("string").alias("MessageDropTime"))
-    # one generator row: later explodes and filters do not repeat the lookups
-    return df.select(*keep, F.inline(F.array(F.struct(*out))))
+    return df.select(*keep, *out)
 
 
 def executions(df: DataFrame, hours: int = 0, zone: str | None = None, drop_time: bool = True) -> DataFrame:
     """Execution reports, with their legs."""
-    return _report(df, "execution", X.EXECUTION_REPORT, X.EXECUTION_FIELDS, "OrderID",
-                   ("NoLegs", X.NO_LEGS, X.LEG_FIELDS), True, hours, zone, drop_time)
+    return _report(df, X.EXECUTION_REPORT, hours, zone, drop_time)
 
 
 def trades(df: DataFrame, hours: int = 0, zone: str | None = None, drop_time: bool = True) -> DataFrame:
     """Trade capture reports, with their sides."""
-    return _report(df, "trade", X.TRADE_CAPTURE_REPORT, X.TRADE_FIELDS, "TradeID",
-                   ("NoSides", X.NO_SIDES, X.SIDE_FIELDS), True, hours, zone, drop_time)
+    return _report(df, X.TRADE_CAPTURE_REPORT, hours, zone, drop_time)
 
 
 def quotes(df: DataFrame, drop_time: bool = True) -> DataFrame:
     """Quote status reports; the time is the sending time, not shifted."""
-    return _report(df, "quote", X.QUOTE_STATUS_REPORT, X.QUOTE_FIELDS, "QuoteID",
-                   None, False, 0, None, drop_time)
+    return _report(df, X.QUOTE_STATUS_REPORT, 0, None, drop_time)
 
 
 def sequence_gaps(df: DataFrame, session: Sequence[str], seq: str, width: int = RANGE_WIDTH) -> DataFrame:
