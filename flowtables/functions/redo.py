@@ -22,7 +22,9 @@ DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 DATE_CALL = r"^(?:TO_DATE|TO_TIMESTAMP)\('"
 # ----------------------------------------------------------------------------
 
-EMPTY = F.array().cast("array<string>")
+
+def no_texts() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _all(text: Column, pattern: str, group: int) -> Column:
@@ -33,7 +35,7 @@ def _name(token: Column) -> Column:
     return F.regexp_replace(token, r'^"(.*)"$', "$1")
 
 
-def _value(token: Column, raw_quotes: bool, null_literal: bool) -> Column:
+def clean_value(token: Column, raw_quotes: bool, null_literal: bool) -> Column:
     """One value token as text. An absent token stands for ``IS NULL``."""
     quoted = token.startswith("'")
     inner = F.substring(token, F.lit(2), F.length(token) - 2)
@@ -77,10 +79,6 @@ def clean_names(tokens: Column) -> Column:
     return F.transform(tokens, _name)
 
 
-def clean_values(tokens: Column, raw_quotes: bool = False, null_literal: bool = False) -> Column:
-    return F.transform(tokens, lambda t: _value(t, raw_quotes, null_literal))
-
-
 def last_by_name(names: Column, values: Column, wanted: Column) -> Column:
     """Value at the last occurrence of ``wanted`` in ``names``."""
     from_end = F.array_position(F.reverse(names), wanted)

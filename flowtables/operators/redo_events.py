@@ -21,7 +21,7 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
     """
     sql = F.col(sql_col)
     kind = F.col("redo_kind")
-    empty = F.struct(redo.EMPTY.alias("names"), redo.EMPTY.alias("values")).cast(TOKENS)
+    empty = F.struct(redo.no_texts().alias("names"), redo.no_texts().alias("values")).cast(TOKENS)
 
     # one pattern per row: each branch is evaluated only for its own statements
     df = df.withColumn("redo_kind", redo.redo_kind(sql))
@@ -46,7 +46,7 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
     set_names, set_values = F.col("_set.names"), F.col("_set.values")
     where_names, where_values = F.col("_where.names"), F.col("_where.values")
     merged = F.coalesce(
-        F.concat(F.array_distinct(where_names), F.array_except(set_names, where_names)), redo.EMPTY
+        F.concat(F.array_distinct(where_names), F.array_except(set_names, where_names)), redo.no_texts()
     )
     decoded = F.size(set_names) > 0
 
@@ -57,7 +57,7 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
         )
 
     is_update = kind == "update"
-    df = df.withColumn("names", F.when(is_update, F.when(decoded, merged).otherwise(redo.EMPTY)).otherwise(where_names))
+    df = df.withColumn("names", F.when(is_update, F.when(decoded, merged).otherwise(redo.no_texts())).otherwise(where_names))
     return with_columns_once(df, {
         "names": F.col("names"),
         "tokens": F.when(is_update, F.transform("names", current)).otherwise(where_values),
@@ -80,7 +80,7 @@ def redo_columns(
     ``last_value`` is null where the WHERE image does not name the column.
     """
     def clean(token: Column) -> Column:
-        return redo._value(token, raw_quotes, null_literal)
+        return redo.clean_value(token, raw_quotes, null_literal)
 
     def typed(token: Column) -> Column:
         return redo.typed_text(token, clean(token))
