@@ -50,6 +50,10 @@ def apply_plan(df: DataFrame, plan: str | Sequence[dict], iv: str | None = None)
             changed = crypto.keyed_hash(text, secret)
         error = F.coalesce(error, F.when(changed.isNull(), F.lit(f"{operation} failed for field {name}")))
         values[name] = changed
-    kept = {n: F.coalesce(c, F.col(n).cast("string")) for n, c in values.items()}
-    order = [*df.columns, quarantine.ERROR]
-    return with_columns_once(df, {**kept, quarantine.ERROR: error}).select(*order)
+    tried = with_columns_once(df, {**{f"_new_{n}": c for n, c in values.items()}, quarantine.ERROR: error})
+    good = F.col(quarantine.ERROR).isNull()
+    out = [
+        F.when(good, F.col(f"_new_{n}")).otherwise(F.col(n).cast("string")).alias(n) if n in values else F.col(n)
+        for n in df.columns
+    ]
+    return tried.select(*out, quarantine.ERROR)
