@@ -118,6 +118,21 @@ def _wrong_type(text: Column, kind: str) -> Column:
     return text.isNotNull() & _typed(text, kind).isNull()
 
 
+def _bad_group(report: Report) -> Column:
+    """True when a typed field of a group entry holds text of another type."""
+    typed = [f for f in (report.group[2] if report.group else ()) if f.type != "string"]
+    if not typed:
+        return F.lit(False)
+
+    def bad(entry: Column) -> Column:
+        wrong = F.lit(False)
+        for f in typed:
+            wrong = wrong | _wrong_type(entry[f.name], f.type)
+        return wrong
+
+    return F.exists(f"_g{report.group[1]}", bad)
+
+
 def _found(tag: int) -> Column:
     return F.col(f"_t{tag}")
 
@@ -129,10 +144,11 @@ def _classify(df: DataFrame, codes: Sequence[str], all_fields: bool) -> DataFram
     fields = {f.tag for r in reports.values() for f in r.fields if all_fields or f.type != "string"}
     header = {X.MSG_TYPE, X.MSG_SEQ_NUM, X.SENDING_TIME, X.TRANSACT_TIME, X.TEXT}
     df = df.withColumn("_m", F.concat(F.lit(X.SOH), "raw"))
-    df = df.withColumns({f"_t{tag}": _text(F.col("_m"), tag) for tag in sorted(fields | header)})
     groups = {f"_g{r.group[1]}": group_texts(F.col("_m"), *r.group[1:]) for r in reports.values() if r.group}
     if groups:
         df = with_columns_once(df, groups)
+    texts = {f"_t{tag}": _text(F.col("_m"), tag) for tag in sorted(fields | header)}
+    df = df.withColumns({**texts, **{f"_bad{code}": _bad_group(r) for code, r in reports.items()}})
 
     kind = _found(X.MSG_TYPE)
     timed = [code for code, r in reports.items() if r.has_transact_time]
@@ -143,14 +159,10 @@ def _classify(df: DataFrame, codes: Sequence[str], all_fields: bool) -> DataFram
     bad = needs_time & _timestamp(time_text).isNull()
     name = F.lit("dropped")
     for code, r in reports.items():
-        wrong = F.lit(False)
+        wrong = F.col(f"_bad{code}")
         for f in r.fields:
             if f.type != "string":
                 wrong = wrong | _wrong_type(_found(f.tag), f.type)
-        if r.group:
-            typed = [f for f in r.group[2] if f.type != "string"]
-            for f in typed:
-                wrong = wrong | F.exists(f"_g{r.group[1]}", lambda g: _wrong_type(g[f.name], f.type))
         bad = bad | ((kind == code) & wrong)
         name = F.when(kind == code, r.kind).otherwise(name)
     error = (

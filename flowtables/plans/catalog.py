@@ -144,7 +144,7 @@ def redo_types(spark, sf_dir):
 
 def redo_long_text(spark, sf_dir):
     """Whole documents as literals of insert statements."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     literal = F.concat(F.lit("'"), F.replace("text", F.lit("'"), F.lit("''")), F.lit("'"))
     sql = F.concat(
         F.lit('insert into "SALES"."DOCS"("DOC_ID","TEXT","LANG") values (\''), F.col("doc_id"), F.lit("',"),
@@ -256,7 +256,7 @@ def capture_choice(spark, sf_dir):
 # ---- field crypto -------------------------------------------------------------------
 
 def _customers(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", money("c_acctbal").alias("c_acctbal"))
+    return table(spark, sf_dir, "customer", spread=True).select("c_custkey", "c_name", "c_mktsegment", money("c_acctbal").alias("c_acctbal"))
 
 
 def _step(field: str, operation: str, secret: str = SECRET) -> dict:
@@ -336,7 +336,7 @@ def topic_pattern(spark, sf_dir):
 
 
 def _framed(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", F.encode("text", "UTF-8").alias("content"))
     return frames.frame(docs)
 
 
@@ -360,7 +360,7 @@ def bundle_by_bytes(spark, sf_dir):
 
 
 def split_messages(spark, sf_dir):
-    return bundles.split_messages(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ". ")
+    return bundles.split_messages(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "text", ". ")
 
 
 def _routed(spark, sf_dir, mode: str, **options) -> DataFrame:

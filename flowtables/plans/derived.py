@@ -12,8 +12,22 @@ NOTE = "It''s late, see where and why"
 DATE_FORMAT = "yyyy-MM-dd\"T\"HH24:MI:SS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A base table. ``spread`` is for inputs of costly per-row work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(df) if spread else df
+
+
+def spread_small(df: DataFrame, bytes_per_task: int = 16 << 20) -> DataFrame:
+    """Give every core a share of an input too small to be split by the scan.
+
+    One parquet row group is one task, whatever the number of cores. Inputs with
+    at least ``bytes_per_task`` per core are left as the scan splits them, so no
+    shuffle is added to a large table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * bytes_per_task else df
 
 
 def money(col: str | Column) -> Column:
@@ -37,7 +51,7 @@ def redo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves it open for the next order. Priority 1-URGENT adds a row that undoes a
     savepoint. Customers are inserted and committed one by one.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     k, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     price, date = money("o_totalprice"), _to_date(F.col("o_orderdate"))
     name = '"SALES"."ORDERS"'
@@ -76,7 +90,7 @@ def redo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("T"), "o_custkey").alias("xid"), F.inline(rows),
         F.col("o_orderdate").alias("ts"), F.concat(F.lit("R"), k).alias("row_id"), F.lit("ORDERS").alias("seg_name"),
     )
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", spread=True)
     ck = F.col("c_custkey")
     c_insert = F.concat(
         F.lit('insert into "SALES"."CUSTOMER"("C_CUSTKEY","C_NAME","C_ACCTBAL") values ('),
@@ -99,7 +113,7 @@ def redo_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change table of ORDERS: an insert per order, an update unless its status
     is O, a delete when its priority is 5-LOW. One transaction per order date."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     k, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     day = F.datediff("o_orderdate", F.lit("1970-01-01").cast("date"))
 
@@ -145,7 +159,7 @@ def fix_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         return F.date_format(col, "yyyyMMdd-HH:mm:ss.SSS")
 
     if kind == "execution":
-        l = table(spark, sf_dir, "lineitem")
+        l = table(spark, sf_dir, "lineitem", spread=True)
         qty, px = money("l_quantity"), money("l_extendedprice")
         seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
         raw = message(
@@ -159,7 +173,7 @@ def fix_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         )
         return l.select(F.concat(F.lit("L"), "l_suppkey").alias("session"), raw.alias("raw"))
     if kind == "trade":
-        o = table(spark, sf_dir, "orders")
+        o = table(spark, sf_dir, "orders", spread=True)
         k = F.col("o_orderkey")
         time = F.when(F.col("o_orderstatus") == "P", "").otherwise(
             F.concat(F.lit("60="), day("o_orderdate"), F.lit("\x01")))
@@ -174,7 +188,7 @@ def fix_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
             message((552, "1"), (54, "2"), (1, F.concat(F.lit("A"), "o_custkey")), (37, F.concat(F.lit("O"), k)), (10, "000")),
         )
         return o.select(F.col("o_orderpriority").alias("session"), raw.alias("raw"))
-    p = table(spark, sf_dir, "part")
+    p = table(spark, sf_dir, "part", spread=True)
     k, px = F.col("p_partkey"), money("p_retailprice")
     raw = message(
         (8, "FIXT.1.1"), (35, "AI"), (34, k), (52, F.lit("20240102-03:04:05.678")), (117, F.concat(F.lit("Q"), k)),
@@ -199,7 +213,7 @@ def segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 
     Segments cover 10000 scn each; those of the upper half are still online.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     group_no = F.expr("o_orderkey div 1000")
     seg = o.groupBy(group_no.alias("group_no")).agg(F.max("o_orderdate").alias("first_time"))
     seg = seg.select(
