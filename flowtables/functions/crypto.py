@@ -52,7 +52,8 @@ def decrypt(value: Column, secret: str, iv: bytes) -> Column:
     """Inverse of :func:`encrypt`; null when the text does not decrypt."""
     sealed = F.concat(F.lit(iv), F.try_to_binary(value, F.lit("base64")))
     plain = F.try_aes_decrypt(sealed, F.lit(derive_key(secret)), F.lit(AES_MODE), F.lit(AES_PADDING))
-    return F.decode(plain, "UTF-8")
+    # a wrong key can leave valid padding around bytes that are not text
+    return F.try_validate_utf8(plain.cast("string"))
 
 
 def keyed_hash(value: Column, secret: str) -> Column:

@@ -13,32 +13,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 RANGE_WIDTH = 1_000_000
 
-_RANGE = "_range"
+_SLOT = "_slot"
 _CARRY = "_carry"
 
 
-def _with_range(df: DataFrame, pos: str, width: int) -> DataFrame:
+def _with_slot(df: DataFrame, keys: Sequence[str], pos: str, width: int) -> DataFrame:
+    """Add the (keys, range) a row belongs to.
+
+    One struct serves grouping, join and window, so the join leaves the rows
+    where the window needs them; null keys are equal inside a struct.
+    """
     p = F.col(pos)
-    return df.withColumn(_RANGE, p - F.pmod(p, F.lit(width).cast("long")))
+    start = (p - F.pmod(p, F.lit(width).cast("long"))).alias("range")
+    return df.withColumn(_SLOT, F.struct(F.struct(*[F.col(k) for k in keys], F.lit(0).alias("all")).alias("key"), start))
 
 
-def _carry_join(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on keys and range; null keys match null keys."""
-    on = [*keys, _RANGE]
-    right = carry.select(*[F.col(k).alias(f"_r_{k}") for k in on], _CARRY)
-    cond = F.lit(True)
-    for k in on:
-        cond = cond & df[k].eqNullSafe(right[f"_r_{k}"])
-    return df.join(right, cond).drop(*[f"_r_{k}" for k in on])
+def _ranges(desc: bool = False) -> WindowSpec:
+    order = F.col(f"{_SLOT}.range")
+    return Window.partitionBy(f"{_SLOT}.key").orderBy(order.desc() if desc else order)
 
 
-def _order(pos: str, ties: Sequence[str], desc: bool = False) -> list[Column]:
+def _rows(pos: str, ties: Sequence[str], desc: bool = False) -> WindowSpec:
     cols = [F.col(c) for c in (pos, *ties)]
-    return [c.desc() for c in cols] if desc else cols
+    return Window.partitionBy(_SLOT).orderBy(*[c.desc() if desc else c for c in cols])
 
 
 def row_position(
@@ -46,18 +47,14 @@ def row_position(
     ties: Sequence[str] = (), width: int = RANGE_WIDTH,
 ) -> DataFrame:
     """Add the 0-based rank of each row inside its key, in position order."""
-    ranged = _with_range(df, pos, width)
-    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    slotted = _with_slot(df, keys, pos, width)
+    before = _ranges().rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        ranged.groupBy(*keys, _RANGE).agg(F.count("*").alias("_n"))
-        .withColumn(_CARRY, F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    )
-    inside = Window.partitionBy(*keys, _RANGE).orderBy(*_order(pos, ties))
-    return (
-        _carry_join(ranged, carry, keys)
-        .withColumn(name, F.col(_CARRY) + F.row_number().over(inside) - 1)
-        .drop(_RANGE, _CARRY)
+        slotted.groupBy(_SLOT).agg(F.count("*").alias("_n"))
+        .select(_SLOT, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_CARRY))
     )
+    rank = F.row_number().over(_rows(pos, ties))
+    return slotted.join(carry, _SLOT).withColumn(name, F.col(_CARRY) + rank - 1).drop(_SLOT, _CARRY)
 
 
 def previous_value(
@@ -65,19 +62,17 @@ def previous_value(
     ties: Sequence[str] = (), width: int = RANGE_WIDTH,
 ) -> DataFrame:
     """Add ``value`` of the row before, inside the key; null on the first row."""
-    ranged = _with_range(df, pos, width)
-    by_range = Window.partitionBy(*keys).orderBy(_RANGE)
+    slotted = _with_slot(df, keys, pos, width)
     carry = (
-        ranged.groupBy(*keys, _RANGE)
-        .agg(F.max_by(value, F.struct(pos, *ties)).alias("_last"))
-        .withColumn(_CARRY, F.lag("_last").over(by_range))
+        slotted.groupBy(_SLOT).agg(F.max_by(value, F.struct(pos, *ties)).alias("_last"))
+        .select(_SLOT, F.lag("_last").over(_ranges()).alias(_CARRY))
     )
-    inside = Window.partitionBy(*keys, _RANGE).orderBy(*_order(pos, ties))
+    inside = _rows(pos, ties)
     return (
-        _carry_join(ranged, carry, keys)
+        slotted.join(carry, _SLOT)
         .withColumn("_rn", F.row_number().over(inside))
         .withColumn(name, F.when(F.col("_rn") == 1, F.col(_CARRY)).otherwise(F.lag(value).over(inside)))
-        .drop(_RANGE, _CARRY, "_rn")
+        .drop(_SLOT, _CARRY, "_rn")
     )
 
 
@@ -90,20 +85,16 @@ def next_value(
     The running window goes backwards: a frame that grows from its start is
     linear, one that ends at the partition end is quadratic.
     """
-    ranged = _with_range(df.withColumn("_value", value), pos, width)
-    after = Window.partitionBy(*keys).orderBy(F.col(_RANGE).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    marked = F.col("_value").isNotNull()
+    slotted = _with_slot(df.withColumn("_value", value), keys, pos, width)
+    after = _ranges(desc=True).rowsBetween(Window.unboundedPreceding, -1)
+    marked = F.when(F.col("_value").isNotNull(), F.struct(pos, *ties))
     carry = (
-        ranged.groupBy(*keys, _RANGE)
-        .agg(F.min_by("_value", F.when(marked, F.struct(pos, *ties))).alias("_first"))
-        .withColumn(_CARRY, F.last("_first", ignorenulls=True).over(after))
-    )
-    inside = (
-        Window.partitionBy(*keys, _RANGE).orderBy(*_order(pos, ties, desc=True))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        slotted.groupBy(_SLOT).agg(F.min_by("_value", marked).alias("_first"))
+        .select(_SLOT, F.last("_first", ignorenulls=True).over(after).alias(_CARRY))
     )
+    inside = _rows(pos, ties, desc=True).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        _carry_join(ranged, carry, keys)
+        slotted.join(carry, _SLOT)
         .withColumn(name, F.coalesce(F.last("_value", ignorenulls=True).over(inside), F.col(_CARRY)))
-        .drop(_RANGE, _CARRY, "_value")
+        .drop(_SLOT, _CARRY, "_value")
     )

@@ -13,34 +13,38 @@ TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 # ------------------------------------------------------------------------------
 
 
-def records(
-    content: Column, demarcator: int = DEMARCATOR, strip_bytes: Sequence[int] = STRIP_BYTES, charset: str = "UTF-8",
-) -> Column:
-    """Array of the complete records in a binary column.
-
-    The bytes are split at the demarcator; what follows the last one is an
-    incomplete record and is left out. Strip bytes are removed, the rest is
-    decoded and trimmed of control characters and blanks.
-    """
+def _pieces(content: Column, demarcator: int) -> Column:
     # ISO-8859-1 maps each byte to one character and back
-    text = F.decode(content, "ISO-8859-1")
-    pieces = F.split(text, rf"\x{demarcator:02x}")
-    complete = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
-    unwanted = "[" + "".join(rf"\x{b:02x}" for b in strip_bytes) + "]"
+    return F.split(F.decode(content, "ISO-8859-1"), rf"\x{demarcator:02x}")
 
-    def clean(piece: Column) -> Column:
-        kept = F.regexp_replace(piece, unwanted, "") if strip_bytes else piece
-        if charset.upper() != "ISO-8859-1":
-            kept = F.decode(F.encode(kept, "ISO-8859-1"), charset)
-        return F.regexp_replace(kept, TRIM, "")
 
-    return F.transform(complete, clean)
+def _clean(piece: Column, strip_bytes: Sequence[int], charset: str) -> Column:
+    kept = piece
+    if strip_bytes:
+        kept = F.regexp_replace(kept, "[" + "".join(rf"\x{b:02x}" for b in strip_bytes) + "]", "")
+    if charset.upper() == "UTF-8":
+        # a cast keeps malformed bytes; decode would fail the job on them
+        kept = F.encode(kept, "ISO-8859-1").cast("string")
+    elif charset.upper() != "ISO-8859-1":
+        kept = F.decode(F.encode(kept, "ISO-8859-1"), charset)
+    return F.regexp_replace(kept, TRIM, "")
 
 
-def frame(df: DataFrame, content: str = "content", **options) -> DataFrame:
-    """One row per record, with its 0-based ``pos`` in the stream it came from."""
+def frame(
+    df: DataFrame, content: str = "content", demarcator: int = DEMARCATOR,
+    strip_bytes: Sequence[int] = STRIP_BYTES, charset: str = "UTF-8",
+) -> DataFrame:
+    """One row per record of a binary column, with its 0-based ``pos``.
+
+    The bytes are split at the demarcator; what follows the last one is an
+    incomplete record and is left out. Strip bytes are removed, the rest is
+    decoded and trimmed of control characters and blanks.
+    """
     keep = [c for c in df.columns if c != content]
-    return df.select(*keep, F.posexplode(records(F.col(content), **options)).alias("pos", "record"))
+    split = df.select(*keep, _pieces(F.col(content), demarcator).alias("_pieces"))
+    complete = F.slice("_pieces", F.lit(1), F.size("_pieces") - 1)
+    cleaned = F.transform(complete, lambda piece: _clean(piece, strip_bytes, charset))
+    return split.select(*keep, F.posexplode(cleaned).alias("pos", "record"))
 
 
 def read_binary_files(spark, path: str) -> DataFrame:

@@ -46,6 +46,7 @@ def test_framing(spark):
     assert framed(spark, feed) == [(0, "068STOCK18.43"), (1, "069STOCK28.43")]
     assert framed(spark, feed, strip_bytes=(10, 13), charset="ISO-8859-1")[0] == (0, "068\xffSTOCK1\xff8.43\xff")
     assert framed(spark, "é\t|\n ü \n".encode(), demarcator=ord("|")) == [(0, "é")]
+    assert framed(spark, b"caf\xe9\nok\n")[1] == (1, "ok")  # malformed bytes do not fail the job
     assert framed(spark, b"no end") == [] and framed(spark, b"") == []
     assert framed(spark, b"\n\na\n") == [(0, ""), (1, ""), (2, "a")]
 
