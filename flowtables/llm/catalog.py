@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtables.llm import minhash
+from flowtables.llm import decontaminate, kdtree, minhash, mixing, quality
 from flowtables.llm.common import read_table
 
 
+def op2_kdtree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.shards(read_table(spark, sf_dir, "documents"), leaves=40)
+
+
+def op4_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(read_table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
-LLM_QUERIES = {f.__name__: f for f in (op9_minhash_near_dedup,)}
+LLM_QUERIES = {f.__name__: f for f in (
+    op2_kdtree_sharding, op4_mil_quality, op6_benchmark_containment, op7_pfair_mixing, op9_minhash_near_dedup)}
 LLM_ORACLES: dict[str, str] = {}

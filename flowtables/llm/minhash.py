@@ -146,4 +146,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, w
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def without_near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, width: int = 5) -> DataFrame:
+    """The rows of ``docs`` that stay when each group keeps its smallest doc_id, all columns.
+
+    Documents with an empty set all stay. Rows that repeat a doc_id that stays count as one
+    group too: one of them is kept.
+    """
+    found = near_duplicates(docs, percent, coordinates, width).where("kept")
+    stay = stored(found.select(F.col("doc_id").alias("_stay")).distinct(), "kept")
+    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    return rows.dropDuplicates(["doc_id"])
+
+
 ship_functions(__name__)
