@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowtables.llm import decontaminate, hamming, kdtree, minhash, mixing, quality, surrogates, trainorder, warc
+from flowtables.llm import decontaminate, hamming, kdtree, minhash, mixing, quality, suffixes, surrogates, trainorder, warc
 from flowtables.llm.common import read_table
 from flowtables.session import scratch_dir
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(read_table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op2_kdtree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.shards(read_table(spark, sf_dir, "documents"), leaves=40)
 
@@ -50,6 +54,6 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_kdtree_sharding, op3_warc_derivatives, op4_mil_quality, op5_training_order, op6_benchmark_containment,
+    op1_suffix_dedup, op2_kdtree_sharding, op3_warc_derivatives, op4_mil_quality, op5_training_order, op6_benchmark_containment,
     op7_pfair_mixing, op8_pii_surrogates, op9_minhash_near_dedup, op10_exact_topk)}
 LLM_ORACLES: dict[str, str] = {}

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -83,3 +86,37 @@ def _all(conditions: list[Column]) -> Column:
     for c in conditions[1:]:
         out = out & c
     return out
+
+
+BLOOM_BITS = 2**26  # at most; 8 MB
+
+
+def may_contain(df: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A test that is true for every hash in ``column`` (long) of ``df``, and false for most others.
+
+    A Bloom filter of bounded size, built by an aggregate and sent to the Python
+    workers. It saves shuffling rows that a join would drop anyway. Beyond the
+    bound it lets more pass; results never depend on it.
+    """
+    spark = df.sparkSession
+    bits = min(BLOOM_BITS, 1 << max(10, (16 * df.count()).bit_length()))
+    h = F.col(column)
+    places = F.array(*[F.expr(f"cast(pmod({column} + {i} * (shiftrightunsigned({column}, 17) | 1), {bits}) as int)") for i in range(4)])
+    words = df.where(h.isNotNull()).select(F.explode(places).alias("p")).select(F.expr("p div 64").cast("int").alias("w"), F.expr("shiftleft(1L, p % 64)").alias("b"))
+    table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    filled = np.zeros(bits // 64, np.uint64)
+    filled[table["w"].to_numpy()] = table["b"].to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(filled)
+
+    def test(values: pd.Series) -> pd.Series:
+        v, words_of = values.fillna(0).to_numpy(np.int64), sent.value
+        ok = values.notna().to_numpy()
+        for i in range(4):
+            p = (v + np.int64(i) * ((v.view(np.uint64) >> np.uint64(17)).view(np.int64) | 1)) % np.int64(len(words_of) * 64)
+            ok &= (words_of[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return pd.Series(ok)
+
+    return lambda value: F.pandas_udf(test, "boolean")(value)
+
+
+ship_functions(__name__)
