@@ -6,7 +6,10 @@ over (key, range), and one summary row per (key, range) carries what must cross
 a range border. The summary has ``rows / range`` rows, so its own window by key
 stays small even when one key holds a third of the table.
 
-``width`` is the length of a range in units of the position column.
+``width`` is the length of a range in units of the position column. By default it
+is worked out from the rows: their span divided so that a range of even positions
+has about ``RANGE_ROWS`` rows, however dense or sparse positions are. Rows that
+share one position stay in one range.
 """
 
 from __future__ import annotations
@@ -15,18 +18,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-RANGE_WIDTH = 1_000_000
+RANGE_ROWS = 1_000_000
 
 _SLOT = "_slot"
 _CARRY = "_carry"
 
 
-def _with_slot(df: DataFrame, keys: Sequence[str], pos: str, width: int) -> DataFrame:
+def fitting_width(df: DataFrame, pos: str, rows: int = RANGE_ROWS) -> int:
+    """Length of a range that holds about ``rows`` rows; reads the position column once."""
+    found = df.agg(F.count(pos).alias("n"), F.min(pos).alias("low"), F.max(pos).alias("high")).first()
+    if not found["n"]:
+        return 1
+    return max(1, -(-(int(found["high"]) - int(found["low"]) + 1) * rows // found["n"]))
+
+
+def _with_slot(df: DataFrame, keys: Sequence[str], pos: str, width: int | None) -> DataFrame:
     """Add the (keys, range) a row belongs to.
 
     One struct serves grouping, join and window, so the join leaves the rows
     where the window needs them; null keys are equal inside a struct.
     """
+    width = fitting_width(df, pos) if width is None else width
     p = F.col(pos)
     start = (p - F.pmod(p, F.lit(width).cast("long"))).alias("range")
     return df.withColumn(_SLOT, F.struct(F.struct(*[F.col(k) for k in keys], F.lit(0).alias("all")).alias("key"), start))
@@ -44,7 +56,7 @@ def _rows(pos: str, ties: Sequence[str], desc: bool = False) -> WindowSpec:
 
 def row_position(
     df: DataFrame, keys: Sequence[str], pos: str, name: str = "row_pos",
-    ties: Sequence[str] = (), width: int = RANGE_WIDTH,
+    ties: Sequence[str] = (), width: int | None = None,
 ) -> DataFrame:
     """Add the 0-based rank of each row inside its key, in position order."""
     slotted = _with_slot(df, keys, pos, width)
@@ -59,7 +71,7 @@ def row_position(
 
 def previous_value(
     df: DataFrame, keys: Sequence[str], pos: str, value: str, name: str,
-    ties: Sequence[str] = (), width: int = RANGE_WIDTH,
+    ties: Sequence[str] = (), width: int | None = None,
 ) -> DataFrame:
     """Add ``value`` of the row before, inside the key; null on the first row."""
     slotted = _with_slot(df, keys, pos, width)
@@ -78,7 +90,7 @@ def previous_value(
 
 def next_value(
     df: DataFrame, keys: Sequence[str], pos: str, value: Column, name: str,
-    ties: Sequence[str] = (), width: int = RANGE_WIDTH,
+    ties: Sequence[str] = (), width: int | None = None,
 ) -> DataFrame:
     """Add the first non-null ``value`` at or after each row, inside the key.
 

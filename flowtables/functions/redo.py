@@ -12,12 +12,23 @@ from pyspark.sql import Column, functions as F
 # --- fixed values: the redo dialect -----------------------------------------
 LITERAL = r"'(?:[^']++|'')*+'"
 NAME = r'(?:"[^"]+"|[A-Za-z_][\w$#]*+)'
-VALUE = rf"(?:[A-Z_]++\((?:[^()']++|{LITERAL})*+\)|{LITERAL}|[^\s,;()']++)"
+# arguments of a call, with calls inside one another up to four deep
+ARGUMENTS = rf"(?:[^()']++|{LITERAL})*+"
+for _ in range(3):
+    ARGUMENTS = rf"(?:[^()']++|{LITERAL}|\({ARGUMENTS}\))*+"
+TYPED_LITERAL = rf"(?i:DATE|TIMESTAMP|INTERVAL)\s++{LITERAL}"
+VALUE = rf"(?:{TYPED_LITERAL}|[A-Za-z_]\w*+\s*+\({ARGUMENTS}\)|{LITERAL}|[^\s,;()']++)"
 FILL = rf"""(?:{LITERAL}|"[^"]*+"|(?!\swhere\s)[^'"])*+"""
 INSERT = r"(?is)^\s*insert\s+into\s+\S+?\s*\(([^)]*)\)\s*values\s*\((.*)\)\s*;?\s*$"
 SET_PART = rf"(?is)^\s*update\s+\S+\s+set\s+({FILL})\swhere\s"
 WHERE_PART = rf"(?is)^\s*(?:update|delete){FILL}\swhere\s+(.*?);?\s*$"
 PAIR = rf"({NAME})\s*(?:=\s*({VALUE})|(?i:IS\s+NULL))"
+# a clause is decoded only if such pieces cover it from end to end
+_PIECE = rf"{NAME}\s*+(?:=\s*+{VALUE}|(?i:IS\s+NULL))\s*+"
+SET_WHOLE = rf"(?s)^\s*+{_PIECE}(?:,\s*+{_PIECE})*+$"
+WHERE_WHOLE = rf"(?s)^\s*+{_PIECE}(?:(?i:and)\s++{_PIECE})*+$"
+NAMES_WHOLE = rf"(?s)^\s*+{NAME}\s*+(?:,\s*+{NAME}\s*+)*+$"
+VALUES_WHOLE = rf"(?s)^\s*+{VALUE}\s*+(?:,\s*+{VALUE}\s*+)*+$"
 DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 DATE_CALL = r"^(?:TO_DATE|TO_TIMESTAMP)\('"
 # ----------------------------------------------------------------------------
@@ -55,16 +66,16 @@ def redo_kind(sql: Column) -> Column:
 
 
 def insert_tokens(sql: Column) -> Column:
-    """``struct<names, values>`` of raw tokens of an insert."""
-    return F.struct(
-        _all(F.regexp_extract(sql, INSERT, 1), f"({NAME})", 1).alias("names"),
-        _all(F.regexp_extract(sql, INSERT, 2), f"({VALUE})", 1).alias("values"),
-    )
+    """``struct<names, values>`` of raw tokens of an insert; null unless both lists decode whole and are as long."""
+    named, given = F.regexp_extract(sql, INSERT, 1), F.regexp_extract(sql, INSERT, 2)
+    names, values = _all(named, f"({NAME})", 1), _all(given, f"({VALUE})", 1)
+    whole = named.rlike(NAMES_WHOLE) & given.rlike(VALUES_WHOLE) & (F.size(names) == F.size(values))
+    return F.when(whole, F.struct(names.alias("names"), values.alias("values")))
 
 
-def pair_tokens(text: Column) -> Column:
-    """``struct<names, values>`` of the ``NAME = VALUE`` pairs in a clause."""
-    return F.struct(_all(text, PAIR, 1).alias("names"), _all(text, PAIR, 2).alias("values"))
+def pair_tokens(text: Column, whole: str) -> Column:
+    """``struct<names, values>`` of the ``NAME = VALUE`` pairs in a clause; null unless they cover it."""
+    return F.when(text.rlike(whole), F.struct(_all(text, PAIR, 1).alias("names"), _all(text, PAIR, 2).alias("values")))
 
 
 def set_clause(sql: Column) -> Column:

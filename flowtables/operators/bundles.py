@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowtables.functions.ordered import RANGE_WIDTH, row_position
+from flowtables.functions.ordered import row_position
 
 # --- fixed values: default limits ---------------------------------------------
 BUNDLE_RECORDS = 100
@@ -25,7 +27,7 @@ def _join_bundle(record: str, demarcator: str) -> Column:
 
 def bundle_by_count(
     df: DataFrame, keys: Sequence[str], pos: str, record: str, size: int = BUNDLE_RECORDS,
-    demarcator: str = "\n", dense: bool = False, width: int = RANGE_WIDTH,
+    demarcator: str = "\n", dense: bool = False, width: int | None = None,
 ) -> DataFrame:
     """Bundles of ``size`` records per key, in order; the last may be smaller.
 
@@ -76,7 +78,7 @@ def _ends(sizes: np.ndarray, times: np.ndarray | None, messages: int, nbytes: in
 def bundle_greedy(
     df: DataFrame, keys: Sequence[str], pos: str, size: str, messages: int = BUNDLE_MESSAGES,
     nbytes: int = BUNDLE_BYTES, seconds: float | None = None, time: str | None = None,
-    chunk: int = 1_000_000, width: int = RANGE_WIDTH,
+    chunk: int = 1_000_000, width: int | None = None, ties: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``bundle_start``: position (in the key) of the first message of the bundle.
 
@@ -84,17 +86,15 @@ def bundle_greedy(
     messages and ``nbytes`` bytes and, if ``seconds`` is given, spans less than
     that from its first ``time``. A message above the byte limit stands alone.
     ``size`` names the column with the message size. ``time``, when used, must
-    not decrease in position order.
+    not decrease in position order. Messages with one position are ordered by
+    ``ties``; those that ``ties`` does not tell apart follow one another in any order.
     """
     if chunk < messages:
         raise ValueError("a chunk holds at least one bundle")
     key_text = F.to_json(F.struct(*keys)) if keys else F.lit("")
     stamp = (F.unix_micros(F.col(time).cast("timestamp")) / 1e6) if time else F.lit(None).cast("double")
-    # positions are worked out on narrow rows; payloads move once, in the last join
-    narrow = df.select(
-        key_text.alias("_key"), F.col(pos).alias("_at"), F.col(size).cast("long").alias("_size"), stamp.alias("_time")
-    )
-    slim = row_position(narrow, ["_key"], "_at", "_pos", width=width)
+    ranked = row_position(df.withColumn("_key", key_text), ["_key"], pos, "_pos", ties=ties, width=width)
+    slim = ranked.select("_key", "_pos", F.col(size).cast("long").alias("_size"), stamp.alias("_time"))
     slim = slim.withColumn("_chunk", F.floor(F.col("_pos") / chunk).cast("long"))
     # a chunk also sees the head of the next one: bundles may cross the border
     borders = slim.where(F.col("_pos") % chunk < messages).where("_chunk > 0").withColumn("_chunk", F.col("_chunk") - 1)
@@ -104,11 +104,11 @@ def bundle_greedy(
         pdf = pdf.sort_values("_pos")
         own = _own_rows(pdf, chunk)
         end = _chunk_ends(pdf, messages, nbytes, seconds)
-        exit_at = np.zeros(own, dtype=np.int64)
-        for i in range(own - 1, -1, -1):
-            exit_at[i] = end[i] - own if end[i] >= own else exit_at[end[i]]
+        at = np.arange(min(own, messages))  # all entries step together
+        while (inside := at < own).any():
+            at[inside] = end[at[inside]]
         head = pdf[["_key", "_chunk"]].iloc[:1]
-        return head.assign(_exits=[exit_at[:messages].tolist()])
+        return head.assign(_exits=[(at - own).tolist()])
 
     maps = seen.groupBy("_key", "_chunk").applyInPandas(entry_map, "_key string, _chunk long, _exits array<int>")
 
@@ -134,16 +134,16 @@ def bundle_greedy(
             starts[i : end[i]] = positions[i]
             i = int(end[i])
         # rows left at -1 belong to a bundle that another chunk marks
-        out = pdf[["_key", "_at"]].assign(position=positions, bundle_start=starts)
+        out = pdf[["_key"]].assign(position=positions, bundle_start=starts)
         return out[out["bundle_start"] >= 0]
 
     marked = (
         seen.groupBy("_key", "_chunk")
         .cogroup(entries.groupBy("_key", "_chunk"))
-        .applyInPandas(mark, "_key string, _at long, position long, bundle_start long")
+        .applyInPandas(mark, "_key string, position long, bundle_start long")
     )
-    at = df[pos].cast("long") == marked["_at"]
-    return df.join(marked, at & (key_text == marked["_key"])).drop("_key", "_at")
+    numbered = ranked.withColumnRenamed("_pos", "position")
+    return numbered.join(marked, ["_key", "position"]).select(*df.columns, "position", "bundle_start")
 
 
 def _own_rows(pdf: pd.DataFrame, chunk: int) -> int:
@@ -154,3 +154,7 @@ def _own_rows(pdf: pd.DataFrame, chunk: int) -> int:
 def _chunk_ends(pdf: pd.DataFrame, messages: int, nbytes: int, seconds: float | None) -> np.ndarray:
     times = pdf["_time"].to_numpy(dtype=float) if seconds is not None else None
     return _ends(pdf["_size"].to_numpy(dtype=np.int64), times, messages, nbytes, seconds)
+
+
+# workers get these functions by value and need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from flowtables.functions import fix_fields as X
 from flowtables.functions.fix_fields import Field
 from flowtables.functions.once import with_columns_once
-from flowtables.functions.ordered import RANGE_WIDTH, previous_value
+from flowtables.functions.ordered import previous_value
 
 MISSING = "FieldNotFound"
 BAD_VALUE = "IncorrectDataFormat"
@@ -63,22 +63,50 @@ def _typed(value: Column, kind: str) -> Column:
     return value.try_cast(kind)
 
 
-def group_texts(message: Column, count_tag: int, fields: Sequence[Field]) -> Column:
-    """Repeating group as an array of structs of texts.
+class Group(NamedTuple):
+    """A repeating group: its column, count tag and fields, the first of which starts an entry.
 
-    A group entry starts at the first field of the table and ends before the
-    next start. At most as many entries as the count field says.
+    ``members`` are further tags that may stand in an entry; the first tag that is
+    neither ends the group.
     """
+
+    name: str
+    count_tag: int
+    fields: tuple[Field, ...]
+    members: tuple[int, ...] = ()
+
+    @property
+    def pattern(self) -> str:
+        inside = "|".join(str(t) for t in dict.fromkeys([*(f.tag for f in self.fields), *self.members]))
+        return rf"{X.SOH}{self.count_tag}=[^{X.SOH}]*+((?:{X.SOH}(?:{inside})=[^{X.SOH}]*+)*+)"
+
+
+def without_group(message: Column, group: Group) -> Column:
+    """The message with the entries of a group cut out; its count stays."""
+    return F.when(
+        message.contains(f"{X.SOH}{group.count_tag}="),
+        F.regexp_replace(message, group.pattern, rf"{X.SOH}{group.count_tag}=?"),
+    ).otherwise(message)
+
+
+def group_count(message: Column, group: Group) -> Column:
+    """The number of entries that the count field states; null without one, -1 if it is no number."""
+    return F.coalesce(_text(message, group.count_tag).try_cast("int"), F.when(message.contains(f"{X.SOH}{group.count_tag}="), -1))
+
+
+def group_texts(message: Column, group: Group) -> Column:
+    """Repeating group as an array of structs of texts, as many as there are."""
+    fields = group.fields
     start = f"{X.SOH}{fields[0].tag}="
-    after = F.substring_index(message, f"{X.SOH}{count_tag}=", -1)
-    declared = F.greatest(F.coalesce(F.substring_index(after, X.SOH, 1).try_cast("int"), F.lit(0)), F.lit(0))
-    entries = F.slice(F.split(after, start), F.lit(2), declared)
+    region = F.regexp_extract(message, group.pattern, 1)
+    pieces = F.split(region, start)
+    entries = F.slice(pieces, F.lit(2), F.size(pieces))
 
     def entry(rest: Column) -> Column:
         one = F.concat(F.lit(start), rest)
         return F.struct(*[_text(one, f.tag).alias(f.name) for f in fields])
 
-    has_group = message.contains(f"{X.SOH}{count_tag}=")
+    has_group = message.contains(f"{X.SOH}{group.count_tag}=")
     return F.transform(F.when(has_group, entries).otherwise(F.array().cast("array<string>")), entry)
 
 
@@ -87,7 +115,10 @@ def _typed_group(texts: Column, fields: Sequence[Field]) -> Column:
 
 
 def _timestamp(text: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in X.UTC_TIMESTAMP_FORMATS])
+    """A UTC time with 0 to 9 fraction digits; those below a microsecond are dropped."""
+    whole = F.try_to_timestamp(F.regexp_extract(text, X.UTC_TIMESTAMP_TEXT, 1), F.lit(X.UTC_TIMESTAMP_FORMAT))
+    micros = F.rpad(F.substring(F.regexp_extract(text, X.UTC_TIMESTAMP_TEXT, 2), 1, 6), 6, "0").try_cast("int")
+    return F.timestamp_micros(F.unix_micros(whole) + micros)
 
 
 def local_time(text: Column, hours: int = 0, zone: str | None = None) -> Column:
@@ -100,18 +131,20 @@ def local_time(text: Column, hours: int = 0, zone: str | None = None) -> Column:
 
 
 class Report(NamedTuple):
+    """A message type as data; see :func:`report`."""
+
+    code: str
     kind: str
     fields: tuple[Field, ...]
     id_field: str
     has_transact_time: bool
-    group: tuple[str, int, tuple[Field, ...]] | None
+    group: Group | None = None
 
 
-REPORTS = {
-    X.EXECUTION_REPORT: Report("execution", X.EXECUTION_FIELDS, "OrderID", True, ("NoLegs", X.NO_LEGS, X.LEG_FIELDS)),
-    X.TRADE_CAPTURE_REPORT: Report("trade", X.TRADE_FIELDS, "TradeID", True, ("NoSides", X.NO_SIDES, X.SIDE_FIELDS)),
-    X.QUOTE_STATUS_REPORT: Report("quote", X.QUOTE_FIELDS, "QuoteID", False, None),
-}
+EXECUTION = Report(X.EXECUTION_REPORT, "execution", X.EXECUTION_FIELDS, "OrderID", True, Group("NoLegs", X.NO_LEGS, X.LEG_FIELDS, X.NO_LEGS_MEMBERS))
+TRADE = Report(X.TRADE_CAPTURE_REPORT, "trade", X.TRADE_FIELDS, "TradeID", True, Group("NoSides", X.NO_SIDES, X.SIDE_FIELDS, X.NO_SIDES_MEMBERS))
+QUOTE = Report(X.QUOTE_STATUS_REPORT, "quote", X.QUOTE_FIELDS, "QuoteID", False)
+REPORTS = (EXECUTION, TRADE, QUOTE)
 
 
 def _wrong_type(text: Column, kind: str) -> Column:
@@ -119,10 +152,14 @@ def _wrong_type(text: Column, kind: str) -> Column:
 
 
 def _bad_group(report: Report) -> Column:
-    """True when a typed field of a group entry holds text of another type."""
-    typed = [f for f in (report.group[2] if report.group else ()) if f.type != "string"]
-    if not typed:
+    """True when a group has not as many entries as it states, or a typed field holds text of another type."""
+    if not report.group:
         return F.lit(False)
+    entries = F.col(f"_g{report.group.count_tag}")
+    miscounted = F.coalesce(F.col(f"_n{report.group.count_tag}") != F.size(entries), F.lit(False))
+    typed = [f for f in report.group.fields if f.type != "string"]
+    if not typed:
+        return miscounted
 
     def bad(entry: Column) -> Column:
         wrong = F.lit(False)
@@ -130,23 +167,29 @@ def _bad_group(report: Report) -> Column:
             wrong = wrong | _wrong_type(entry[f.name], f.type)
         return wrong
 
-    return F.exists(f"_g{report.group[1]}", bad)
+    return miscounted | F.exists(entries, bad)
 
 
 def _found(tag: int) -> Column:
     return F.col(f"_t{tag}")
 
 
-def _classify(df: DataFrame, codes: Sequence[str], all_fields: bool) -> DataFrame:
+def _classify(df: DataFrame, specs: Sequence[Report], all_fields: bool) -> DataFrame:
     """Add the texts of the fields (``_t<tag>``), the groups (``_g<tag>``), and
     ``msg_type``, ``kind``, ``error_code``, ``error_text``."""
-    reports = {code: REPORTS[code] for code in codes}
+    reports = {r.code: r for r in specs}
     fields = {f.tag for r in reports.values() for f in r.fields if all_fields or f.type != "string"}
     header = {X.MSG_TYPE, X.MSG_SEQ_NUM, X.SENDING_TIME, X.TRANSACT_TIME, X.TEXT}
     df = df.withColumn("_m", F.concat(F.lit(X.SOH), "raw"))
-    groups = {f"_g{r.group[1]}": group_texts(F.col("_m"), *r.group[1:]) for r in reports.values() if r.group}
+    groups = [r.group for r in reports.values() if r.group]
     if groups:
-        df = with_columns_once(df, groups)
+        # fields of the body are looked for outside the groups only
+        body = F.col("_m")
+        for r in reports.values():
+            if r.group:
+                body = F.when(_is_type(F.col("raw"), r.code), without_group(F.col("_m"), r.group)).otherwise(body)
+        found = {f"_g{g.count_tag}": group_texts(F.col("_m"), g) for g in groups}
+        df = with_columns_once(df, {**found, **{f"_n{g.count_tag}": group_count(F.col("_m"), g) for g in groups}, "_m": body})
     texts = {f"_t{tag}": _text(F.col("_m"), tag) for tag in sorted(fields | header)}
     df = df.withColumns({**texts, **{f"_bad{code}": _bad_group(r) for code, r in reports.items()}})
 
@@ -182,9 +225,9 @@ def route(df: DataFrame) -> DataFrame:
 
     ``kind`` is execution, trade, quote, failure or dropped. A logout with a text
     is a failure, as is a report without its mandatory fields or with a value of
-    the wrong type.
+    the wrong type, or a group with other than the stated number of entries.
     """
-    out = _classify(df, list(REPORTS), all_fields=False)
+    out = _classify(df, REPORTS, all_fields=False)
     return out.select(*df.columns, "msg_type", "kind", "error_code", "error_text")
 
 
@@ -193,11 +236,16 @@ def failures(df: DataFrame) -> DataFrame:
     return route(df).where("kind = 'failure'").drop("kind")
 
 
-def _report(df: DataFrame, code: str, hours: int, zone: str | None, drop_time: bool) -> DataFrame:
-    report = REPORTS[code]
+def report(df: DataFrame, report: Report, hours: int = 0, zone: str | None = None, drop_time: bool = True) -> DataFrame:
+    """The messages of one type as rows of typed fields.
+
+    ``report`` describes the type, so a new type is data. Messages that
+    :func:`failures` would name are left out.
+    """
+    code = report.code
     keep = [c for c in df.columns if c != "raw"]
     # messages of other types leave before they are parsed
-    df = _classify(df.where(_is_type(F.col("raw"), code)), [code], all_fields=True)
+    df = _classify(df.where(_is_type(F.col("raw"), code)), [report], all_fields=True)
     df = df.where(F.col("error_code").isNull())
 
     out = [F.lit(code).alias("MsgType")]
@@ -217,8 +265,7 @@ def _report(df: DataFrame, code: str, hours: int, zone: str | None, drop_time: b
         )
         out.append(F.concat(F.date_format(sent, "yyyy-MM-dd'T'HH:mm"), seconds).alias("TransactTime"))
     if report.group:
-        name, count_tag, members = report.group
-        out.append(_typed_group(F.col(f"_g{count_tag}"), members).alias(name))
+        out.append(_typed_group(F.col(f"_g{report.group.count_tag}"), report.group.fields).alias(report.group.name))
     id_tag = next(f.tag for f in report.fields if f.name == report.id_field)
     out.append(F.concat_ws(":", _found(X.MSG_SEQ_NUM), F.coalesce(_found(id_tag), F.lit("null"))).alias("Id"))
     if drop_time:
@@ -228,20 +275,20 @@ def _report(df: DataFrame, code: str, hours: int, zone: str | None, drop_time: b
 
 def executions(df: DataFrame, hours: int = 0, zone: str | None = None, drop_time: bool = True) -> DataFrame:
     """Execution reports, with their legs."""
-    return _report(df, X.EXECUTION_REPORT, hours, zone, drop_time)
+    return report(df, EXECUTION, hours, zone, drop_time)
 
 
 def trades(df: DataFrame, hours: int = 0, zone: str | None = None, drop_time: bool = True) -> DataFrame:
     """Trade capture reports, with their sides."""
-    return _report(df, X.TRADE_CAPTURE_REPORT, hours, zone, drop_time)
+    return report(df, TRADE, hours, zone, drop_time)
 
 
 def quotes(df: DataFrame, drop_time: bool = True) -> DataFrame:
     """Quote status reports; the time is the sending time, not shifted."""
-    return _report(df, X.QUOTE_STATUS_REPORT, 0, None, drop_time)
+    return report(df, QUOTE, drop_time=drop_time)
 
 
-def sequence_gaps(df: DataFrame, session: Sequence[str], seq: str, width: int = RANGE_WIDTH) -> DataFrame:
+def sequence_gaps(df: DataFrame, session: Sequence[str], seq: str, width: int | None = None) -> DataFrame:
     """Breaks in the numbering of each session.
 
     One row per message whose number is not one above the number before it:

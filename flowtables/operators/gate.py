@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from flowtables.functions.ordered import RANGE_WIDTH, next_value
+from flowtables.functions.ordered import next_value
 from flowtables.sources.changelog import COMMIT_CODE, ROLLBACK_CODE
 
 
 def decide(
-    df: DataFrame, xid: str = "xid", pos: str = "scn", ties: Sequence[str] = (), width: int = RANGE_WIDTH,
+    df: DataFrame, xid: str = "xid", pos: str = "scn", ties: Sequence[str] = (), width: int | None = None,
 ) -> DataFrame:
     """Add ``decision`` (struct of scn and code) to every row.
 

@@ -17,7 +17,7 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
     New columns: ``redo_kind``, ``names``, ``tokens`` (current image) and
     ``before_tokens`` (null unless update). An update merges its WHERE image with
     its SET image: WHERE order first, SET values win, new SET columns follow.
-    Text that does not decode gives empty arrays; the row is kept.
+    Text that does not decode from end to end gives empty arrays; the row is kept.
     """
     sql = F.col(sql_col)
     kind = F.col("redo_kind")
@@ -30,15 +30,15 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
         "_where": F.when(kind.isin("update", "delete"), redo.where_clause(sql)),
     })
     df = df.withColumns({
-        "_set": F.when(F.length("_set") > 0, redo.pair_tokens(F.col("_set"))),
-        "_where": (
-            F.when(kind == "insert", redo.insert_tokens(sql))
-            # an update without both clauses is undecodable
-            .when((kind == "update") & (F.length("_set") > 0), redo.pair_tokens(F.col("_where")))
-            .when(kind == "delete", redo.pair_tokens(F.col("_where")))
-            .otherwise(empty)
-        ),
+        "_set": redo.pair_tokens(F.col("_set"), redo.SET_WHOLE),
+        "_where": F.when(kind == "insert", redo.insert_tokens(sql)).otherwise(redo.pair_tokens(F.col("_where"), redo.WHERE_WHOLE)),
+    })
+    # an update without both clauses is undecodable
+    df = df.withColumns({
+        "_set": F.when(F.col("_where").isNotNull(), F.col("_set")),
+        "_where": F.when((kind != "update") | F.col("_set").isNotNull(), F.col("_where")),
     })
+    df = df.withColumns({"_set": F.coalesce("_set", empty), "_where": F.coalesce("_where", empty)})
     df = df.withColumns({
         "_set": F.struct(redo.clean_names(F.col("_set.names")).alias("names"), F.col("_set.values").alias("values")),
         "_where": F.struct(redo.clean_names(F.col("_where.names")).alias("names"), F.col("_where.values").alias("values")),

@@ -43,12 +43,15 @@ def merge_snapshot(
 ) -> DataFrame:
     """Snapshot after ``changes``: one row per key, deleted keys gone.
 
-    Deletes of absent keys do nothing. Only the distinct changed keys meet the
-    snapshot, in an anti join; the adaptive planner broadcasts them when their
-    measured size allows it and shuffles otherwise.
+    Of a key's rows, snapshot and changes, the one of highest ``seq`` counts, so
+    a repeated or late change undoes nothing; a change goes before a snapshot row
+    of the same ``seq``. Deletes of absent keys do nothing. Parts of keys may be null. The
+    snapshot and the changes meet in one shuffle, of one row per key and task.
     """
     columns = current.columns
-    touched = changes.select(*keys).distinct()
-    kept = current.join(touched, list(keys), "left_anti").select(*columns)
-    written = latest_by_key(changes, keys, seq).where(~is_delete(op))
-    return kept.unionByName(written.select(*columns))
+    old = current.withColumns({"_new": F.lit(0), "_gone": F.lit(False)})
+    new = changes.withColumns({"_new": F.lit(1), "_gone": F.coalesce(is_delete(op), F.lit(False))})
+    rows = old.unionByName(new.select(*old.columns))
+    w = Window.partitionBy(*keys).orderBy(F.col(seq).desc_nulls_last(), F.col("_new").desc())
+    last = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1 and not _gone")
+    return last.select(*columns)

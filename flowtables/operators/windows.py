@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowtables.functions.text import WINDOW_BOUND_FORMAT
 
@@ -14,9 +14,6 @@ WINDOW_SECONDS = 300
 HOP_SECONDS = 60
 # ------------------------------------------------------------------------------
 
-AMOUNT = "decimal(38,6)"
-
-
 def aggregation_id(groups: Sequence[str], separator: str = "") -> Column:
     """Base64 of the group values joined by ``separator``.
 
@@ -35,13 +32,21 @@ def _check(how: str, fields: Sequence[str], window: int, hop: int) -> None:
         raise ValueError("window and hop are positive numbers of seconds")
 
 
-def _partials(how: str, fields: Sequence[str]) -> dict[str, Column]:
+def _amount(df: DataFrame, field: str) -> Column:
+    """A field as what it is added up as: whole numbers and decimals exactly, all else as doubles."""
+    kind = df.schema[field].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.col(field)
+    return F.col(field).cast("decimal(38,0)" if isinstance(kind, T.IntegralType) else "double")
+
+
+def _partials(df: DataFrame, how: str, fields: Sequence[str]) -> dict[str, Column]:
     """Parts that can be added up again: sums, and counts of non-null values."""
     parts: dict[str, Column] = {}
     if not fields:
         parts["_rows"] = F.count("*")
     for f in fields:
-        parts[f"_s_{f}"] = F.sum(F.col(f).cast(AMOUNT))
+        parts[f"_s_{f}"] = F.sum(_amount(df, f))
         if how == "avg":
             parts[f"_n_{f}"] = F.count(f)
     return parts
@@ -78,7 +83,9 @@ def hop_aggregate(
     """Aggregate per group and window of ``window`` seconds, every ``hop`` seconds.
 
     ``hop == window`` tumbles, ``hop < window`` overlaps, ``hop > window`` looks
-    only at the last ``window`` seconds of each hop. Windows are closed at their
+    only at the last ``window`` seconds of each hop. Sums keep the kind of their
+    field: decimals and whole numbers are exact, text is read as a double.
+    Windows are closed at their
     begin and open at their end. ``time_col=None`` stamps events on arrival. On a
     stream, ``watermark`` bounds the state and closes windows.
 
@@ -97,7 +104,7 @@ def hop_aggregate(
         (F.coalesce(F.col(g).cast("string"), F.lit("null")) if null_as_text else F.col(g).cast("string")).alias(g)
         for g in groups
     ]
-    parts = _partials(how, fields)
+    parts = _partials(df, how, fields)
     aggs = [c.alias(n) for n, c in parts.items()]
     start = start_time or "0 seconds"
 

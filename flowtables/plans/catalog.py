@@ -23,7 +23,7 @@ ORDERS_ONLY = "SALES.ORDERS"
 # ---- windows -------------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("ts", "event_type", "user_id", "value")
+    return table(spark, sf_dir, "events").select("ts", "event_type", "user_id", money("value").alias("value"))
 
 
 def _doubles(df: DataFrame, *names: str) -> DataFrame:
@@ -55,13 +55,14 @@ def sampled_window_sum(spark, sf_dir):
 
 
 def hop_sum_stream(spark, sf_dir):
-    source = table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    events = stream.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
+    """The events arrive in four parts, each with events of all times."""
     root = scratch_dir(spark, "hop_sum_stream")
+    source = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    source.repartition(4, "user_id", "ts").write.option("maxRecordsPerFile", 0).parquet(f"{root}/in")
+    events = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
     options = dict(fields=["value"], how="sum", window=300, hop=60)
     window_stream.start_running_windows(
-        events, f"{root}/out", f"{root}/checkpoint", ["event_type"], watermark="10 minutes", **options
+        events, f"{root}/out", f"{root}/checkpoint", ["event_type"], **options
     ).awaitTermination()
     schema = hop_aggregate(_events(spark, sf_dir), ["event_type"], **options).schema
     return _doubles(window_stream.read_running_windows(spark, f"{root}/out", schema, ["event_type"]), "value_sum")
@@ -144,7 +145,7 @@ def redo_types(spark, sf_dir):
 
 def redo_long_text(spark, sf_dir):
     """Whole documents as literals of insert statements."""
-    docs = table(spark, sf_dir, "documents", spread=True)
+    docs = table(spark, sf_dir, "documents")
     literal = F.concat(F.lit("'"), F.replace("text", F.lit("'"), F.lit("''")), F.lit("'"))
     sql = F.concat(
         F.lit('insert into "SALES"."DOCS"("DOC_ID","TEXT","LANG") values (\''), F.col("doc_id"), F.lit("',"),
@@ -256,7 +257,7 @@ def capture_choice(spark, sf_dir):
 # ---- field crypto -------------------------------------------------------------------
 
 def _customers(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer", spread=True).select("c_custkey", "c_name", "c_mktsegment", money("c_acctbal").alias("c_acctbal"))
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", money("c_acctbal").alias("c_acctbal"))
 
 
 def _step(field: str, operation: str, secret: str = SECRET) -> dict:
@@ -336,7 +337,7 @@ def topic_pattern(spark, sf_dir):
 
 
 def _framed(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
     return frames.frame(docs)
 
 
@@ -360,7 +361,7 @@ def bundle_by_bytes(spark, sf_dir):
 
 
 def split_messages(spark, sf_dir):
-    return bundles.split_messages(table(spark, sf_dir, "documents", spread=True).select("doc_id", "text"), "text", ". ")
+    return bundles.split_messages(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ". ")
 
 
 def _routed(spark, sf_dir, mode: str, **options) -> DataFrame:

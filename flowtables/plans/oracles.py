@@ -29,7 +29,7 @@ def _window(groups: list[str], result: str, window: int, hop: int, sampled: bool
         keep = ""
     return f"""
 WITH e AS (
-  SELECT {keys}, CAST(value AS DECIMAL(18,6)) AS v, user_id AS u, epoch_us(ts) // 1000000 AS s FROM events
+  SELECT {keys}, CAST(value AS DECIMAL(18,2)) AS v, user_id AS u, epoch_us(ts) // 1000000 AS s FROM events
 ), x AS (
   SELECT {names}, v, u, {begin} AS b FROM e, {shifts} {keep}
 )

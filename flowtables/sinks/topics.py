@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowtables.functions.ordered import RANGE_WIDTH, row_position
+from flowtables.functions.ordered import row_position
 
 # --- fixed values -------------------------------------------------------------
 ROUTES = ("RoundRobin", "Single", "Custom")
@@ -24,7 +24,7 @@ def topic_payload(df: DataFrame, topic: str | Column, value: str = "value", key:
 
 def route(
     df: DataFrame, mode: str, partitions: int, pos: str | None = None, key: Column | None = None,
-    width: int = RANGE_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Add ``partition_id``.
 
