@@ -101,7 +101,7 @@ def may_contain(df: DataFrame, column: str) -> Callable[[Column], Column]:
     spark = df.sparkSession
     bits = min(BLOOM_BITS, 1 << max(10, (16 * df.count()).bit_length()))
     h = F.col(column)
-    places = F.array(*[F.expr(f"cast(pmod({column} + {i} * (shiftrightunsigned({column}, 17) | 1), {bits}) as int)") for i in range(4)])
+    places = F.array(*[F.expr(f"cast((({column} & 2147483647) + {i} * ((shiftrightunsigned({column}, 31) & 2147483647) | 1)) % {bits} as int)") for i in range(4)])
     words = df.where(h.isNotNull()).select(F.explode(places).alias("p")).select(F.expr("p div 64").cast("int").alias("w"), F.expr("shiftleft(1L, p % 64)").alias("b"))
     table = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     filled = np.zeros(bits // 64, np.uint64)
@@ -111,8 +111,9 @@ def may_contain(df: DataFrame, column: str) -> Callable[[Column], Column]:
     def test(values: pd.Series) -> pd.Series:
         v, words_of = values.fillna(0).to_numpy(np.int64), sent.value
         ok = values.notna().to_numpy()
+        low, step = v & 0x7FFFFFFF, v >> 31 & 0x7FFFFFFF | 1
         for i in range(4):
-            p = (v + np.int64(i) * ((v.view(np.uint64) >> np.uint64(17)).view(np.int64) | 1)) % np.int64(len(words_of) * 64)
+            p = (low + i * step) % (len(words_of) * 64)
             ok &= (words_of[p >> 6] >> (p & 63).astype(np.uint64)) & np.uint64(1) == 1
         return pd.Series(ok)
 
