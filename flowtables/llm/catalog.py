@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowtables.llm import decontaminate, hamming, kdtree, minhash, mixing, quality, suffixes, surrogates, trainorder, warc
 from flowtables.llm.common import read_table
+from flowtables.llm.oracles import LLM_ORACLES  # noqa: F401
 from flowtables.session import scratch_dir
 
 
@@ -56,4 +57,3 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_kdtree_sharding, op3_warc_derivatives, op4_mil_quality, op5_training_order, op6_benchmark_containment,
     op7_pfair_mixing, op8_pii_surrogates, op9_minhash_near_dedup, op10_exact_topk)}
-LLM_ORACLES: dict[str, str] = {}
