@@ -11,7 +11,7 @@ from flowtables.plans import derived
 from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
-from flowtables.sources import changelog, changetable, frames, incremental, topics
+from flowtables.sources import changelog, changetable, frames, incremental, json_messages, topics
 from flowtables.streaming import gate as gate_stream, snapshot as snapshot_stream, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
@@ -54,6 +54,13 @@ def sampled_window_sum(spark, sf_dir):
     return _doubles(hop_aggregate(_events(spark, sf_dir), ["event_type"], ["value"], "sum", 60, 300), "value_sum")
 
 
+def hop_sum_json(spark, sf_dir):
+    """Sums over the number in each event's JSON text; rows without it are set aside."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type", F.col("props").alias("message"))
+    good, _ = quarantine.split(json_messages.read_json(events, "message", "k long", required=["k"]))
+    return hop_aggregate(good, ["event_type"], ["k"], "sum", 300, 60).withColumn("k_sum", F.col("k_sum").cast("long"))
+
+
 def hop_sum_stream(spark, sf_dir):
     """The events arrive in four parts, each with events of all times."""
     root = scratch_dir(spark, "hop_sum_stream")
@@ -190,13 +197,15 @@ def _insert_documents(spark, sf_dir) -> DataFrame:
     return snapshot.to_documents(redo_events.change_events(log))
 
 
-def _committed_documents(spark, sf_dir) -> DataFrame:
+def _committed_documents(spark, sf_dir, last_only: bool = False) -> DataFrame:
     changed = _committed(spark, sf_dir).where("operation <> 'INSERT'")
+    if last_only:  # superseded changes are not decoded
+        changed = snapshot.latest_by_key(changed, ["seg_owner", "seg_name", "row_id"], "scn")
     return snapshot.to_documents(redo_events.change_events(changed, with_xid=True))
 
 
 def snapshot_merge(spark, sf_dir):
-    merged = snapshot.merge_snapshot(_insert_documents(spark, sf_dir), _committed_documents(spark, sf_dir))
+    merged = snapshot.merge_snapshot(_insert_documents(spark, sf_dir), _committed_documents(spark, sf_dir, last_only=True))
     return merged.select("database", "table_name", "row_id", "seq", "doc")
 
 
@@ -265,9 +274,26 @@ def _step(field: str, operation: str, secret: str = SECRET) -> dict:
 
 
 def crypto_encrypt(spark, sf_dir):
-    plan = [_step("c_name", "encrypt"), _step("c_acctbal", "encrypt")]
-    good, _ = quarantine.split(field_crypto.apply_plan(_customers(spark, sf_dir), plan, IV))
-    return good
+    """What can be said of ciphertexts without the cipher: their length, which are equal, and what they decrypt to."""
+    rows = _customers(spark, sf_dir).withColumn("plain", F.concat("c_mktsegment", F.col("c_acctbal").cast("string")))
+    good, _ = quarantine.split(field_crypto.apply_plan(rows.withColumn("sealed", F.col("plain")), [_step("sealed", "encrypt")], IV))
+    opened = crypto.decrypt(F.col("sealed"), SECRET, crypto.parse_iv(IV))
+    alike = good.groupBy("sealed").agg(F.count(F.lit(1)).alias("alike"))
+    return good.join(alike, "sealed").select(
+        "c_custkey", F.octet_length(F.unbase64("sealed")).alias("sealed_bytes"), "alike", opened.alias("opened"),
+        (F.col("sealed") == F.col("plain")).alias("readable"))
+
+
+def crypto_json(spark, sf_dir):
+    """Customers as JSON messages: read, sealed, opened and written as JSON again."""
+    rows = _customers(spark, sf_dir).withColumn("c_acctbal", F.col("c_acctbal").cast("string"))
+    fields = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
+    messages = json_messages.write_json(rows, fields, "message")
+    read = json_messages.read_json(messages, "message", "c_custkey long, c_name string, c_mktsegment string, c_acctbal string", required=["c_custkey"])
+    good, _ = quarantine.split(read)
+    plan = [_step(f, op) for op in ("encrypt", "decrypt") for f in ("c_name", "c_acctbal")]
+    opened, _ = quarantine.split(field_crypto.apply_plan(good, plan, IV))
+    return json_messages.write_json(opened, fields, "value").select("value")
 
 
 def crypto_roundtrip(spark, sf_dir):
@@ -312,7 +338,7 @@ def incremental_batch(spark, sf_dir):
 
 def replicate(spark, sf_dir):
     table(spark, sf_dir, "orders").createOrReplaceTempView("replicate_source")
-    source = spark.sql("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM replicate_source WHERE o_totalprice > 1000")
+    source = spark.sql("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM replicate_source WHERE o_totalprice > 100000")
     target = scratch_dir(spark, "replicate")
     replication.replicate(source, target)
     return spark.read.parquet(target)
@@ -325,7 +351,7 @@ def _with_text(df: DataFrame) -> DataFrame:
 
 
 def topic_read_from(spark, sf_dir):
-    return _with_text(topics.read_from(derived.topic_log(spark, sf_dir), position=5003, max_messages=100))
+    return _with_text(topics.read_from(derived.topic_log(spark, sf_dir), topic="user", position=5003, max_messages=100))
 
 
 def topic_subscribe(spark, sf_dir):
@@ -423,12 +449,12 @@ def fix_seq_gaps(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f for f in (
-        hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream,
+        hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
         cdc_all, cdc_committed, cdc_committed_stream, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
         change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply,
         mssql_poll, mssql_changes, mssql_key_values, topic_payload, capture_choice,
-        crypto_encrypt, crypto_roundtrip, crypto_hmac, crypto_plan, quarantine_split,
+        crypto_encrypt, crypto_roundtrip, crypto_json, crypto_hmac, crypto_plan, quarantine_split,
         incremental_plan, incremental_batch, replicate,
         topic_read_from, topic_subscribe, topic_pattern, frame_records,
         bundle_by_count, bundle_topic_by_count, bundle_by_bytes, split_messages,

@@ -6,9 +6,7 @@ expected rows of each operator directly from the columns a log was derived from.
 
 from __future__ import annotations
 
-from flowtables.functions import crypto
 from flowtables.functions.fix_fields import EXECUTION_FIELDS, QUOTE_FIELDS, TRADE_FIELDS
-from flowtables.plans.catalog import HASH_SECRET
 
 ISO = "%Y-%m-%dT%H:%M:%S"
 
@@ -335,8 +333,12 @@ UNION ALL
 SELECT 'quotes', 'AI', 'quote', NULL, count(*) FROM part"""
 
 
+# the secret of the hashing query, filled up to 64 bytes with zeros, with each byte against 0x36 and 0x5c
+_HASH_SECRET = "another secret"
+
+
 def _hmac(text: str) -> str:
-    inner, outer = (p.hex() for p in crypto.hmac_pads(HASH_SECRET))
+    inner, outer = ("".join(f"{b ^ pad:02x}" for b in _HASH_SECRET.encode().ljust(64, bytes(1))) for pad in (0x36, 0x5C))
     return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({text}))))"
 
 
@@ -349,6 +351,15 @@ ORACLES = {
         "CAST(sum(v) AS DOUBLE) / count(*) AS value_avg, CAST(sum(u) AS DOUBLE) / count(*) AS user_id_avg", 300, 60, sep="|"),
     "tumbling_sum": _window(["event_type"], "CAST(sum(v) AS DOUBLE) AS value_sum", 300, 300),
     "sampled_window_sum": _window(["event_type"], "CAST(sum(v) AS DOUBLE) AS value_sum", 60, 300, sampled=True),
+    "hop_sum_json": f"""
+WITH e AS (
+  SELECT CAST(event_type AS VARCHAR) AS event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS v, epoch_us(ts) // 1000000 AS s FROM events
+), x AS (
+  SELECT event_type, v, (s // 60) * 60 - k * 60 AS b FROM e, (SELECT unnest(range(0, 5)) AS k) shifts WHERE v IS NOT NULL
+)
+SELECT event_type, CAST(sum(v) AS BIGINT) AS k_sum, strftime(make_timestamp(b * 1000000), '{ISO}') AS begin_date,
+       strftime(make_timestamp((b + 300) * 1000000), '{ISO}') AS end_date, base64(encode(event_type)) AS aggregation_id
+FROM x GROUP BY event_type, b""",
     "cdc_all": _CDC_ALL,
     "cdc_committed": _CDC_COMMITTED,
     "cdc_committed_stream": _CDC_COMMITTED,
@@ -392,6 +403,12 @@ ranked AS (SELECT *, count(*) OVER (PARTITION BY c) AS n, row_number() OVER (PAR
 picked AS (SELECT * FROM ranked WHERE n = 1 OR (n = 2 AND r = CASE WHEN newest <= 5000 THEN 2 ELSE 1 END))
 SELECT 't' || c AS table_name, 'dbo_t' || c || '_' || s AS capture_instance, 'Id|' || s AS key_columns, CAST(NULL AS VARCHAR) AS error FROM picked
 UNION ALL SELECT DISTINCT 't' || c, NULL, NULL, 'there must be one or two captures' FROM ranked WHERE n > 2""",
+    "crypto_encrypt": """
+WITH p AS (SELECT c_custkey, c_mktsegment || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS plain FROM customer)
+SELECT c_custkey, CAST(strlen(plain) // 16 * 16 + 16 AS INTEGER) AS sealed_bytes, count(*) OVER (PARTITION BY plain) AS alike, plain AS opened, FALSE AS readable FROM p""",
+    "crypto_json": """
+SELECT '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '","c_acctbal":"' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) || '"}' AS value
+FROM customer""",
     "crypto_roundtrip": "SELECT c_custkey, c_name, c_mktsegment, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal FROM customer",
     "crypto_hmac": f"SELECT c_custkey, {_hmac('c_name')} AS name_hash FROM customer",
     "crypto_plan": f"SELECT c_custkey, {_hmac('c_name')} AS c_name, c_mktsegment, {_hmac('CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR)')} AS c_acctbal FROM customer",
@@ -403,8 +420,8 @@ SELECT CASE WHEN m IS NULL OR m < 3000 THEN 'error' WHEN m = 3000 THEN 'nonExecu
        CASE WHEN m > 3000 THEN least(m, 8000) END AS to_id, CASE WHEN m > 3000 THEN least(m, 8000) ELSE 3000 END AS next_offset
 FROM (SELECT max(o_orderkey) AS m FROM orders)""",
     "incremental_batch": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey BETWEEN 3001 AND 8000",
-    "replicate": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 1000",
-    "topic_read_from": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE msg_id > 5003 ORDER BY msg_id LIMIT 100",
+    "replicate": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000",
+    "topic_read_from": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE topic = 'user' AND msg_id > 5003 ORDER BY msg_id LIMIT 100",
     "topic_subscribe": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE topic IN ('user','assistant') AND length(text) > 0",
     "topic_pattern": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE topic IN ('user','system') AND length(text) > 0",
     "frame_records": f"WITH {_FRAMES} SELECT doc_id, pos, record FROM frames",

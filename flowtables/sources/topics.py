@@ -10,14 +10,15 @@ BATCH_MESSAGES = 100
 
 
 def read_from(
-    df: DataFrame, position: int | None = None, initial: int | None = None, max_messages: int = BATCH_MESSAGES,
+    df: DataFrame, topic: str, position: int | None = None, initial: int | None = None, max_messages: int = BATCH_MESSAGES,
 ) -> DataFrame:
-    """Next messages after a position, in order.
+    """Next messages of one topic after a position, in order. Each topic has a position of its own.
 
     The saved ``position`` is exclusive; without one, ``initial`` is used
     (exclusive too); without both, reading starts at the earliest message.
     """
     start = position if position is not None else initial
+    df = df.where(F.col("topic") == topic)
     if start is not None:
         df = df.where(F.col("msg_id") > start)
     return df.orderBy("msg_id").limit(max_messages).withColumn("message_id", message_id(F.col("msg_id")))

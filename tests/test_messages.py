@@ -19,12 +19,15 @@ def ids(df):
 
 
 def test_positioned_read(spark):
-    df = log(spark)
-    assert ids(topics.read_from(df, max_messages=2)) == [1, 2]
-    assert ids(topics.read_from(df, position=2, initial=4)) == [3, 4, 5]
-    assert ids(topics.read_from(df, initial=4)) == [5]
-    assert topics.next_position(topics.read_from(df, position=2), 2).first()[0] == 5
-    assert topics.next_position(topics.read_from(df, position=5), 5).first()[0] == 5
+    """Each topic is read by itself, from its own position."""
+    rows = [("b", i, b"other") for i in range(1, 7)] + [("a", i, b"x") for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "topic string, msg_id long, payload binary")
+    assert ids(topics.read_from(df, "a", max_messages=2)) == [1, 2]
+    assert ids(topics.read_from(df, "a", position=2, initial=4)) == [3, 4, 5]
+    assert ids(topics.read_from(df, "a", initial=4)) == [5] and ids(topics.read_from(df, "b", initial=4)) == [5, 6]
+    assert {r["topic"] for r in topics.read_from(df, "b").collect()} == {"b"}
+    assert topics.next_position(topics.read_from(df, "a", position=2), 2).first()[0] == 5
+    assert topics.next_position(topics.read_from(df, "a", position=5), 5).first()[0] == 5
 
 
 def test_subscription(spark):

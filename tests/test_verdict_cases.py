@@ -91,3 +91,15 @@ def test_ranges_fit_sparse_and_dense_positions(spark):
         ranked = row_position(df, [], "pos", width=width).collect()
         assert all(r["row_pos"] == r["pos"] // step for r in ranked)
     assert fitting_width(spark.range(0).select(F.col("id").alias("pos")), "pos") == 1
+
+
+def test_json_messages_and_bad_text(spark):
+    from flowtables.operators import quarantine
+    from flowtables.sources import json_messages
+
+    rows = [(1, '{"a": 1, "b": "x", "z": 0}'), (2, "no json"), (3, '{"a": "text"}'), (4, '{"b": "y"}'), (5, None), (6, '{"a": null}'), (7, "[1]")]
+    read = json_messages.read_json(spark.createDataFrame(rows, "id int, value string"), "value", "a long, b string", required=["a"])
+    good, bad = quarantine.split(read)
+    assert [tuple(r) for r in good.collect()] == [(1, None, 1, "x")]
+    assert {r["id"]: r["value"] for r in bad.collect()} == {i: v for i, v in rows if i != 1}
+    assert [r["value"] for r in json_messages.write_json(good.select("id", "a", "b"), ["a", "b"]).collect()] == ['{"a":1,"b":"x"}']
