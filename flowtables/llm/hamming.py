@@ -48,10 +48,10 @@ def _segments(code: str) -> Column:
 
 
 def _probes(waiting: DataFrame, radius: int) -> DataFrame:
-    """(query, segment, value) for all values at ``radius`` from a segment of the query."""
+    """(query, bound, segment, value) for all values at ``radius`` from a segment of the query."""
     masks = [F.array(*[F.lit(m) for m in _masks(width, radius)]).cast("array<int>") for _, width in SEGMENTS]
     near = F.array(*[F.struct(F.lit(i).alias("segment"), F.expr(_part("query", i)).alias("near"), m.alias("masks")) for i, m in enumerate(masks)])
-    return waiting.select("query", F.inline(near)).select("query", "segment", "near", F.explode("masks").alias("mask")).select("query", "segment", F.expr("near ^ mask").alias("value"))
+    return waiting.select("query", "bound", F.inline(near)).select("query", "bound", "segment", "near", F.explode("masks").alias("mask")).select("query", "bound", "segment", F.expr("near ^ mask").alias("value"))
 
 
 def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -71,10 +71,10 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     index = stored(codes_of.select("code", "low_id", "copies", F.inline(_segments("code"))), "index")
 
     far = F.array(*[F.expr(f"bit_count({_part('(query ^ code)', i)})") for i in range(len(SEGMENTS))])
-    waiting = asked.select("query").distinct()
+    waiting = asked.select("query").distinct().withColumn("bound", F.lit(BITS))
     found, answers = None, []
     for radius in range(max(width for _, width in SEGMENTS) + 1):
-        hits = _probes(waiting, radius).join(index.hint("shuffle_hash"), ["segment", "value"])
+        hits = _probes(waiting, radius).join(index.hint("shuffle_hash"), ["segment", "value"]).where("bit_count(query ^ code) <= bound")
         hits = hits.where((F.array_min(far) == radius) & (F.array_position(far, F.lit(radius)) == F.col("segment") + 1))
         hits = hits.select("query", "code", "low_id", "copies", F.expr("bit_count(query ^ code)").alias("distance"))
         seen = hits if found is None else found.unionByName(hits)
@@ -83,9 +83,12 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         found = stored(seen.withColumn("r", F.row_number().over(first)).where(f"r <= {k + 1}").drop("r"), "found")
         covered = len(SEGMENTS) * (radius + 1) - 1
         done = found.where(f"distance <= {covered}").groupBy("query").agg(F.sum("copies").alias("have")).where(f"have > {k}").select("query")
-        done = stored(waiting if covered >= BITS else done, "done")
+        done = stored(waiting.select("query") if covered >= BITS else done, "done")
         answers.append(found.join(done, "query", "left_semi").select("query", "code", "distance"))
-        waiting = stored(waiting.join(done, "query", "left_anti"), "waiting")
+        # nothing farther than the last of k + 1 codes that are known can matter
+        reached = found.groupBy("query").agg(F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("reached"))
+        waiting = waiting.select("query").join(done, "query", "left_anti").join(reached, "query", "left")
+        waiting = stored(waiting.select("query", F.coalesce("reached", F.lit(BITS)).alias("bound")), "waiting")
         found = found.join(waiting, "query", "left_semi")
         if waiting.isEmpty():
             break
