@@ -25,7 +25,9 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "access_key": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "hex_token": r"(?<![0-9A-Za-z])(?=[a-f]*[0-9])[0-9a-f]{20,128}(?![0-9A-Za-z])",
+    "hex_token": r"(?<![0-9A-Za-z])(?=[a-f]*[0-9])[0-9a-f]{16,128}(?![0-9A-Za-z])",
+    # what is assigned to a name that speaks of a secret
+    "secret": r"(?<=[=:\"' ])(?<=(?:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']{0,1})[A-Za-z0-9_+/-]{6,128}(?![A-Za-z0-9_+/-])",
 }
 GIVEN_NAMES = {
     ("f", "latin"): ["Alice", "Anna", "Carmen", "Claire", "Elena", "Emma", "Hannah", "Julia", "Laura", "Lucia", "Maria", "Sophie"],
@@ -45,8 +47,11 @@ ATTEMPTS = 60
 
 
 def kind_of(mention: Column) -> Column:
-    out = F.lit(None).cast("string")
+    """The first kind whose pattern fits; a secret is known by what stands before it, so what fits none is one."""
+    out = F.lit("secret")
     for kind, pattern in reversed(PATTERNS.items()):
+        if kind == "secret":
+            continue
         out = F.when(mention.rlike(f"^(?:{pattern})$"), F.lit(kind)).otherwise(out)
     return out
 
@@ -123,7 +128,7 @@ def surrogate(kind: Column, value: Column, secret: str, attempt: Column) -> Colu
     ip = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: _octet(o, F.conv(F.substring(seed, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), wide)), ".")
     key = F.concat(F.lit("AKIA"), _like(F.substring(value, 5, 16), seed))
     token = F.substring(seed, F.lit(1), F.length(value))
-    made = {"email": email, "card": card, "phone": phone, "ssn": ssn, "ipv4": ip, "access_key": key, "hex_token": token, "person": _person(value, seed)}
+    made = {"secret": _like(value, seed), "email": email, "card": card, "phone": phone, "ssn": ssn, "ipv4": ip, "access_key": key, "hex_token": token, "person": _person(value, seed)}
     out = F.lit(None).cast("string")
     for name, column in made.items():
         out = F.when(kind == name, column).otherwise(out)
@@ -170,7 +175,7 @@ def replaced(docs: DataFrame, secret: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(ANY), 0)
     mark = F.xxhash64("text")
     said = docs.select("doc_id", mark.alias("_mark"), F.explode(F.array_distinct(found)).alias("mention")).distinct()
-    said = said.withColumn("kind", kind_of(F.col("mention"))).where("kind is not null")
+    said = said.withColumn("kind", kind_of(F.col("mention")))
     said = stored(said.withColumn("value", normal_form(F.col("kind"), F.col("mention"))), "mentions")
     table = entity_table(said.select("kind", "value"), secret)
     changes = said.join(table, ["kind", "value"]).withColumn("new", laid_out(F.col("kind"), F.col("mention"), F.col("made")))

@@ -75,6 +75,13 @@ def test_surrogates_keep_kind_format_and_coreference(spark):
     assert [c for c in surrogates.replaced(frame(spark, TEXTS), "k").columns if c != "n_entities"] == frame(spark, TEXTS).columns
 
 
+def test_assigned_secrets(spark):
+    rows = [(1, 'password=b7db7aa4a5fcc78305 token = "abcXYZ99" Secret: plain, tokens = x token=short password=b7db7aa4a5fcc78305')]
+    text = surrogates.replaced(frame(spark, rows), "k").first()["text"]
+    m = re.fullmatch(r'password=([0-9a-f]{18}) token = "([a-z]{3}[A-Z]{3}[0-9]{2})" Secret: plain, tokens = x token=short password=([0-9a-f]{18})', text)
+    assert m and m[1] == m[3] != "b7db7aa4a5fcc78305" and m[2] != "abcXYZ99"
+
+
 def test_distinct_in_a_crowded_space(spark):
     """Addresses of four one-digit numbers: many collide at first, none at last."""
     rng = random.Random(2)
