@@ -30,18 +30,21 @@ END, FILL = b"\xff", b"\xfe"
 ROUNDS = 6
 
 
-def feistel(index: np.ndarray, size: int, key: int) -> np.ndarray:
-    """Slots of ``index`` (0..size-1) under the permutation of ``key``."""
+def feistel(index: np.ndarray, size: int, key: int, inverse: bool = False) -> np.ndarray:
+    """Slots of ``index`` (0..size-1) under the permutation of ``key``, or with ``inverse`` the indexes of slots."""
     half = max(1, ((max(size - 1, 1)).bit_length() + 1) // 2)
     mask = np.uint64((1 << half) - 1)
     keys = [np.uint64(xxhash.xxh64_intdigest(f"{key}:{r}")) for r in range(ROUNDS)]
 
+    def mixed(x: np.ndarray, k: np.uint64) -> np.ndarray:
+        x = (x + k) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x >> np.uint64(32)) & mask
+
     def once(x: np.ndarray) -> np.ndarray:
         left, right = x >> np.uint64(half), x & mask
-        for k in keys:
-            mixed = (right + k) * np.uint64(0x9E3779B97F4A7C15)
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            left, right = right, (left ^ (mixed >> np.uint64(32))) & mask
+        for k in reversed(keys) if inverse else keys:
+            left, right = (right ^ mixed(left, k), left) if inverse else (right, left ^ mixed(right, k))
         return (left << np.uint64(half)) | right
 
     out = once(np.asarray(index).astype(np.uint64))
@@ -145,23 +148,25 @@ def materialise(docs: DataFrame, path: str, key: int = 1, length: int = 2048, pe
     # the text writer copies a string's bytes as they are
     whole.select("shard", F.col("record").cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(path)
 
-    slots = F.pandas_udf(lambda s: pd.Series(feistel(s.to_numpy(), sequences, key)), "long")
-    order = spark.range(sequences).select(F.col("id").alias("sequence"), slots("id").alias("slot"))
-    return read_records(spark, path, length, per_shard).join(order, "slot").select("slot", "sequence", "shard", "record")
+    return read_records(spark, path, sequences, key, length, per_shard)
+
 
+def read_records(spark: SparkSession, path: str, sequences: int, key: int, length: int, per_shard: int) -> DataFrame:
+    """slot, sequence, shard, record: every record of the shards below ``path``.
 
-def read_records(spark: SparkSession, path: str, length: int, per_shard: int) -> DataFrame:
-    """slot, shard, record: every record of the shards below ``path``, by position in its file."""
+    The slot is the record's place in its file, the sequence follows from it.
+    """
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for shard, content in zip(frame["shard"], frame["content"], strict=True):
                 count = len(content) // (length + 1)
                 records = [content[i * (length + 1) : i * (length + 1) + length] for i in range(count)]
-                yield pd.DataFrame({"slot": shard * per_shard + np.arange(count), "shard": shard, "record": records})
+                slots = shard * per_shard + np.arange(count)
+                yield pd.DataFrame({"slot": slots, "sequence": feistel(slots, sequences, key, inverse=True), "shard": shard, "record": records})
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-    return files.select(F.col("shard").cast("long").alias("shard"), "content").mapInPandas(work, "slot long, shard long, record binary")
+    return files.select(F.col("shard").cast("long").alias("shard"), "content").mapInPandas(work, "slot long, sequence long, shard long, record binary")
 
 
 ship_functions(__name__)

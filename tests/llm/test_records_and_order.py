@@ -67,7 +67,8 @@ def test_no_pages(spark):
 @pytest.mark.parametrize("size", [1, 2, 3, 5, 64, 1000, 4097])
 def test_permutation(size):
     for key in (1, 99):
-        assert sorted(trainorder.feistel(np.arange(size), size, key)) == list(range(size))
+        slots = trainorder.feistel(np.arange(size), size, key)
+        assert sorted(slots) == list(range(size)) and list(trainorder.feistel(slots, size, key, inverse=True)) == list(range(size))
     assert size < 64 or list(trainorder.feistel(np.arange(size), size, 1)) != list(trainorder.feistel(np.arange(size), size, 99))
 
 
