@@ -11,10 +11,11 @@
 4. Collisions of the pairs that met are counted on the whole signatures; those
    with ``needed`` or more are confirmed on the full sets.
 
-Lists are not expanded into all pairs. First each class is held against the
-smallest class of the list where it meets it most often; confirmed links give
-components. After that only classes of *different* components that meet in a
-list are still open, and only those are paired.
+Lists are not expanded into all pairs. Each class is held against the most central
+class of each list it is in (its pivot); confirmed links give components. After
+that only classes of *different* components that meet in a list are open. Their
+known differences from the pivot bound how alike they can be (see
+:func:`_open_pairs`), and only pairs that pass the bound are made.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowtables.llm.common import ship_functions, stored
+from flowtables.llm.common import may_contain, ship_functions, stored
 from flowtables.llm.components import components
 from flowtables.llm.shingles import WordHashes, shingle_set
 
@@ -64,25 +65,33 @@ def signatures(docs: DataFrame, coordinates: int = 48, width: int = 5) -> DataFr
     return rows.mapInPandas(work, "doc_id long, text string, n_shingles long, cls binary, signature array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The (a, b) whose full shingle sets are similar enough. ``texts``: cls, text."""
+def compared(pairs: DataFrame, texts: DataFrame, width: int, differing: bool) -> DataFrame:
+    """(a, b) with the sizes of both full shingle sets, ``na`` and ``nb``, and ``d``, the number of shingles in only one.
+
+    ``texts``: cls, text. With ``differing`` also ``delta``, those shingles.
+    """
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         last, kept = None, None
         for frame in frames:
-            good = []
-            for b, text_a, text_b in zip(frame["b"], frame["text_a"], frame["text_b"], strict=True):
+            rows = []
+            for a, b, text_a, text_b in zip(frame["a"], frame["b"], frame["text_a"], frame["text_b"], strict=True):
                 if bytes(b) != last:
                     last, kept = bytes(b), shingle_set(text_b, hashes, width)
                 other = shingle_set(text_a, hashes, width)
-                both = len(np.intersect1d(other, kept, assume_unique=True))
-                good.append(100 * both >= percent * (len(other) + len(kept) - both))
-            yield frame.loc[good, ["a", "b"]]
+                delta = np.setxor1d(other, kept, assume_unique=True)
+                rows.append((a, b, len(other), len(kept), len(delta), delta.view(np.int64) if differing else None))
+            yield pd.DataFrame(rows, columns=["a", "b", "na", "nb", "d", "delta"])
 
     first = pairs.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     second = first.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
-    return second.select("a", "b", "text_a", "text_b").mapInPandas(work, "a binary, b binary")
+    return second.select("a", "b", "text_a", "text_b").mapInPandas(work, "a binary, b binary, na long, nb long, d long, delta array<long>")
+
+
+def linked(percent: int) -> str:
+    """Similarity reaches ``percent``, put by na, nb and d: intersection and union are half of (na + nb -+ d)."""
+    return f"d * {100 + percent} <= {100 - percent} * (na + nb)"
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, width: int = 5) -> DataFrame:
@@ -107,34 +116,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, w
     common = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     own = Window.partitionBy("cls")
     shared = posted.join(common, "key").withColumn("m", F.count(F.lit(1)).over(own)).where(f"m >= {needed}")
-    prefix = shared.withColumn("r", F.row_number().over(own.orderBy("n", "key"))).where(f"r <= m - {needed} + 1").select("key", "cls")
-    prefix = stored(prefix, "prefixes")
+    prefix = shared.withColumn("r", F.row_number().over(own.orderBy("n", "key"))).where(f"r <= m - {needed} + 1")
+    central = F.sum("n").over(own)
+    prefix = stored(prefix.withColumn("central", central).select("key", "cls", "central"), "prefixes")
 
     met = prefix.select("cls").distinct()
-    rows = filled.join(met, "cls", "left_semi").select("cls", "text", "signature", "doc_id")
+    known = may_contain(met.select(F.xxhash64("cls").alias("h")), "h")
+    rows = filled.where(known(F.xxhash64("cls"))).join(met, "cls", "left_semi").select("cls", "text", "signature", "doc_id")
     texts = stored(rows.withColumn("r", F.row_number().over(first)).where("r = 1").select("cls", "text", "signature"), "texts")
 
-    pivots = prefix.groupBy("key").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    meetings = prefix.join(pivots, "key").where("cls != pivot").groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("times"))
-    best = meetings.groupBy("cls").agg(F.max(F.struct("times", "pivot")).alias("best")).select(F.col("cls").alias("a"), F.col("best.pivot").alias("b"))
-    links = stored(confirmed(best, texts, percent, width), "confirmed")
+    pivots = prefix.groupBy("key").agg(F.max(F.struct("central", "cls")).alias("p"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", F.col("p.cls").alias("pivot"))
+    listed = prefix.select("key", "cls").join(pivots, "key")
+    pairs = listed.where("cls != pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+    held = stored(compared(pairs, texts, width, differing=True), "compared")
+
+    # a pair held against one pivot is surely linked if its slacks add up to 0 or more: the largest slack of a pivot will do
+    slack = F.expr(f"{100 - percent} * n - {100 + percent} * d")
+    ends = held.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), F.col("na").alias("n"), "d")
+    itself = held.select(F.col("b").alias("cls"), F.col("b").alias("pivot"), F.col("nb").alias("n"), F.lit(0).cast("long").alias("d")).distinct()
+    members = ends.union(itself).withColumn("slack", slack)
+    widest = members.groupBy("pivot").agg(F.max(F.struct("slack", "cls")).alias("w")).select("pivot", F.col("w.slack").alias("most"), F.col("w.cls").alias("b"))
+    sure = members.join(widest, "pivot").where("cls != b and slack + most >= 0").select(F.col("cls").alias("a"), "b")
+    links = held.where(linked(percent)).select("a", "b").union(sure)
     parts = stored(components(links), "parts")
 
-    open_rows = (
-        prefix.join(parts.withColumnRenamed("node", "cls"), "cls", "left")
-        .select("key", "cls", F.coalesce("root", "cls").alias("root")))
+    open_rows = listed.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "pivot", F.coalesce("root", "cls").alias("root"))
     open_keys = open_rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    open_rows = open_rows.join(open_keys, "key")
-    one, two = open_rows.alias("one"), open_rows.alias("two")
-    across = (
-        one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.root") != F.col("two.root")) & (F.col("one.cls") > F.col("two.cls")))
-        .select(F.col("one.cls").alias("a"), F.col("two.cls").alias("b")).distinct())
-    marks = texts.select("cls", "signature")
-    counted = (
-        across.join(marks.select(F.col("cls").alias("a"), F.col("signature").alias("sa")), "a")
-        .join(marks.select(F.col("cls").alias("b"), F.col("signature").alias("sb")), "b")
-        .where(F.size(F.array_intersect("sa", "sb")) >= needed).select("a", "b"))
-    more = confirmed(counted, texts, percent, width)
+    open_rows = stored(open_rows.join(open_keys, "key"), "open")
+    counted = _open_pairs(open_rows, members, held, texts.select("cls", "signature"), percent, needed)
+    more = compared(counted, texts, width, differing=False).where(linked(percent)).select("a", "b")
     found = parts.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     whole = stored(components(found.union(more)), "parts")
 
@@ -146,6 +156,35 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, w
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def _open_pairs(open_rows: DataFrame, members: DataFrame, held: DataFrame, signed: DataFrame, percent: int, needed: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a list, collide ``needed`` times and may be linked.
+
+    Two members x and y of a pivot's lists differ in d_x + d_y - 2 * (what their
+    deltas share) shingles, and what a delta shares is at most ``s``, its elements
+    that some other delta of the pivot has too. So a pair is possible only if
+    slack_x + slack_y + 2 * (100 + percent) * min(s_x, s_y) >= 0. A member that
+    fails this with the best of its list leaves the list before any pair is made.
+    A pair is made in the first list that it has in common only.
+    """
+    wanted = open_rows.select("cls", "pivot").distinct()
+    deltas = held.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "delta").join(wanted, ["cls", "pivot"])
+    elements = deltas.select("cls", "pivot", F.explode("delta").alias("e"))
+    twice = elements.groupBy("pivot", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("pivot", "e")
+    common = elements.join(twice, ["pivot", "e"]).groupBy("cls", "pivot").agg(F.count(F.lit(1)).alias("s"))
+    known = members.join(wanted, ["cls", "pivot"]).join(common, ["cls", "pivot"], "left").select("cls", "pivot", "n", "slack", F.coalesce("s", F.lit(0)).alias("s"))
+    gain = 2 * (100 + percent)
+    rows = open_rows.join(known, ["cls", "pivot"]).select("key", "cls", "root", "n", "slack", "s")
+    best = rows.groupBy("key").agg(F.max(F.expr(f"slack + {gain} * s")).alias("best"))
+    rows = rows.join(best, "key").where("slack + best >= 0").drop("best")
+    lists = rows.groupBy("cls").agg(F.collect_list("key").alias("keys"))  # no more than a prefix
+    rows = stored(rows.join(lists, "cls").join(signed, "cls"), "possible")
+    x, y = rows.alias("x"), rows.alias("y")
+    possible = F.expr(f"x.key = y.key and x.root != y.root and x.cls > y.cls and x.slack + y.slack + {gain} * least(x.s, y.s) >= 0 "
+                      f"and {percent} * greatest(x.n, y.n) <= 100 * least(x.n, y.n) and x.key = array_min(array_intersect(x.keys, y.keys)) "
+                      f"and size(array_intersect(x.signature, y.signature)) >= {needed}")
+    return x.join(y, possible).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
+
+
 def without_near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, width: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay when each group keeps its smallest doc_id, all columns.
 
@@ -154,8 +193,11 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int
     """
     found = near_duplicates(docs, percent, coordinates, width).where("kept")
     stay = stored(found.select(F.col("doc_id").alias("_stay")).distinct(), "kept")
-    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    # one shuffle of the texts by doc_id serves the join and the repeated rows; a null id has to go apart
+    rows = docs.join(stay, F.col("doc_id") == F.col("_stay"), "left_semi").dropDuplicates(["doc_id"])
+    if stay.where("_stay is null").isEmpty():
+        return rows
+    return rows.unionByName(docs.where("doc_id is null").dropDuplicates(["doc_id"]))
 
 
 ship_functions(__name__)
