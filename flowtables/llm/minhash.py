@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowtables.llm.common import may_contain, ship_functions, stored
 from flowtables.llm.components import components
@@ -106,6 +106,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, w
     part; its component is named by the other ids, or null if there are none, and
     only then is it kept. An empty table gives an empty table; other columns are ignored.
     """
+    signed, rooted = _rooted(docs, percent, coordinates, width)
+    named = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))
+    names = rooted.join(named, "root").select("cls", "component_id")
+    out = signed.select("doc_id", "n_shingles", "cls").join(names, "cls", "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _rooted(docs: DataFrame, percent: int, coordinates: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and (cls, min_id, root) of each class that is not empty; classes of one root are a group."""
     needed = needed_collisions(coordinates, percent)
     signed = stored(signatures(docs, coordinates, width), "signatures")
     filled = signed.where("n_shingles > 0")
@@ -148,12 +158,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, w
     found = parts.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     whole = stored(components(found.union(more)), "parts")
 
-    rooted = classes.select("cls", "min_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "min_id", F.coalesce("root", "cls").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("min_id").alias("component_id"))
-    names = rooted.join(named, "root").select("cls", "component_id")
-    out = signed.select("doc_id", "n_shingles", "cls").join(names, "cls", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return signed, classes.select("cls", "min_id").join(whole.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "min_id", F.coalesce("root", "cls").alias("root"))
 
 
 def _open_pairs(open_rows: DataFrame, members: DataFrame, held: DataFrame, signed: DataFrame, percent: int, needed: int) -> DataFrame:
@@ -185,19 +190,31 @@ def _open_pairs(open_rows: DataFrame, members: DataFrame, held: DataFrame, signe
     return x.join(y, possible).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
 
 
+def _row_name(doc_id: Column, text: Column) -> Column:
+    """Equal for rows with one doc_id (or none) and one text; one column, so that joining and dropping repeats share a shuffle."""
+    return F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit("|"), F.md5(text.cast("string").cast("binary")))
+
+
 def without_near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int = 48, width: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay when each group keeps its smallest doc_id, all columns.
+    """The rows of ``docs`` that stay when each group keeps one, all columns.
 
-    Documents with an empty set all stay. Rows that repeat a doc_id that stays count as one
-    group too: one of them is kept.
+    A group keeps its row of smallest doc_id, null ids last; of several such rows
+    the one of smallest set digest, then of smallest text digest. So what groups
+    keep does not depend on ids: different groups may keep rows with one doc_id or
+    with none. Rows equal in doc_id and text count once; documents with an empty set all stay.
     """
-    found = near_duplicates(docs, percent, coordinates, width).where("kept")
-    stay = stored(found.select(F.col("doc_id").alias("_stay")).distinct(), "kept")
-    # one shuffle of the texts by doc_id serves the join and the repeated rows; a null id has to go apart
-    rows = docs.join(stay, F.col("doc_id") == F.col("_stay"), "left_semi").dropDuplicates(["doc_id"])
-    if stay.where("_stay is null").isEmpty():
-        return rows
-    return rows.unionByName(docs.where("doc_id is null").dropDuplicates(["doc_id"]))
+    signed, rooted = _rooted(docs, percent, coordinates, width)
+    # the class of a group's row of smallest id, then the row in it
+    order = F.struct(F.col("min_id").isNull().alias("none"), "min_id", "cls")
+    chosen = rooted.groupBy("root").agg(F.min(order).alias("first")).select("first.cls")
+    members = signed.where("n_shingles > 0").select("cls", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _row_name(F.col("doc_id"), F.col("text")).alias("name")).alias("row"))
+    first = members.groupBy("cls").agg(F.min("row").alias("row"))
+    stay = stored(first.join(chosen, "cls", "left_semi").select(F.col("row.name").alias("_stay")), "kept")
+    filled = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # one shuffle of the texts serves the join and the repeated rows
+    named = docs.where(filled).withColumn("_name", _row_name(F.col("doc_id"), F.col("text")))
+    rows = named.join(stay, F.col("_name") == F.col("_stay"), "left_semi").dropDuplicates(["_name"])
+    return rows.drop("_name").unionByName(docs.where(~filled))
 
 
 ship_functions(__name__)

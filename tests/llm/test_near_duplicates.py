@@ -67,6 +67,19 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_rows_are_judged_by_text_and_not_by_id(spark):
+    """Null ids and an id that stands for different texts: every group keeps one text, whatever its id."""
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    a, b, c, d, e, f = texts
+    rows = [(None, b), (None, c), (1, a), (None, a + " more"), (2, d), (2, e), (2, e), (3, f), (3, f.upper()), (None, ""), (None, ""), (4, None), (4, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = minhash.without_near_duplicates(docs, 80).collect()
+    got = [(r["doc_id"], r["text"]) for r in left]
+    found = [(i, t.lower()) for i, t in got if t and t.strip()]
+    assert sorted(found, key=str) == sorted([(1, a), (None, b), (None, c), (2, d), (2, e), (3, f)], key=str)
+    assert sorted([r for r in got if not (r[1] or "").strip()], key=str) == sorted(rows[-4:], key=str)
+
+
 def test_empty_table(spark):
     none = frame(spark, corpus()).where("false")
     assert minhash.near_duplicates(none).count() == 0
