@@ -25,9 +25,9 @@ PATTERNS = {
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "ipv4": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])",
     "access_key": r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "hex_token": r"(?<![0-9A-Za-z])(?=[a-f]*[0-9])[0-9a-f]{16,128}(?![0-9A-Za-z])",
+    "hex_token": r"(?<![0-9A-Za-z])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{16,}+(?![0-9A-Za-z])",
     # what is assigned to a name that speaks of a secret
-    "secret": r"(?<=[=:\"' ])(?<=(?:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']{0,1})[A-Za-z0-9_+/-]{6,128}(?![A-Za-z0-9_+/-])",
+    "secret": r"(?<=[=:\"' ])(?<=(?i:password|passwd|secret|token|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']{0,1})[A-Za-z0-9_+/-]{6,}+",
 }
 GIVEN_NAMES = {
     ("f", "latin"): ["Alice", "Anna", "Carmen", "Claire", "Elena", "Emma", "Hannah", "Julia", "Laura", "Lucia", "Maria", "Sophie"],
@@ -59,7 +59,7 @@ def kind_of(mention: Column) -> Column:
 def normal_form(kind: Column, mention: Column) -> Column:
     """What makes two mentions the same entity."""
     digits = F.regexp_replace(mention, "[^0-9]", "")
-    return F.when(kind == "email", F.lower(mention)).when(kind.isin("card", "phone", "ssn"), digits).otherwise(mention)
+    return F.when(kind.isin("email", "hex_token"), F.lower(mention)).when(kind.isin("card", "phone", "ssn"), digits).otherwise(mention)
 
 
 def _number(seed: Column, at) -> Column:
@@ -127,7 +127,10 @@ def surrogate(kind: Column, value: Column, secret: str, attempt: Column) -> Colu
     ssn = F.concat((_number(seed, 1) % 8 + 1).cast("string"), F.substring(_like(value, seed, letters=False), 2, 8))
     ip = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: _octet(o, F.conv(F.substring(seed, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), wide)), ".")
     key = F.concat(F.lit("AKIA"), _like(F.substring(value, 5, 16), seed))
-    token = F.substring(seed, F.lit(1), F.length(value))
+    # 128 digits from each hash; the first is the seed itself
+    further = F.transform(F.sequence(F.lit(1), F.floor((F.length(value) - 1) / 128).cast("int")), lambda i: F.sha2(F.concat(seed, i.cast("string")), 512))
+    digits = F.when(F.length(value) > 128, F.concat(seed, F.array_join(further, ""))).otherwise(seed)
+    token = F.substring(digits, F.lit(1), F.length(value))
     made = {"secret": _like(value, seed), "email": email, "card": card, "phone": phone, "ssn": ssn, "ipv4": ip, "access_key": key, "hex_token": token, "person": _person(value, seed)}
     out = F.lit(None).cast("string")
     for name, column in made.items():
@@ -140,7 +143,9 @@ def laid_out(kind: Column, mention: Column, made: Column) -> Column:
     gaps, digits = F.split(mention, "[0-9]", -1), _characters(made)
     filled = F.array_join(F.flatten(F.zip_with(gaps, digits, lambda g, d: F.array(F.coalesce(g, F.lit("")), F.coalesce(d, F.lit(""))))), "")
     shouted = (mention == F.upper(mention)) & (mention != F.lower(mention))
-    return F.when(kind.isin("card", "phone", "ssn"), filled).when((kind == "email") & shouted, F.upper(made)).otherwise(made)
+    mixed = F.array_join(F.zip_with(_characters(mention), _characters(made), lambda m, c: F.when(m.between("A", "F"), F.upper(c)).otherwise(c)), "")
+    out = F.when(kind.isin("card", "phone", "ssn"), filled).when(kind.isin("email", "hex_token") & shouted, F.upper(made))
+    return out.when((kind == "hex_token") & (mention != F.lower(mention)), mixed).otherwise(made)
 
 
 def entity_table(entities: DataFrame, secret: str) -> DataFrame:

@@ -82,6 +82,16 @@ def test_assigned_secrets(spark):
     assert m and m[1] == m[3] != "b7db7aa4a5fcc78305" and m[2] != "abcXYZ99"
 
 
+def test_secrets_of_either_case_and_any_length(spark):
+    small = "9233a8ec01" * 4
+    secret, long_hex, long_secret = small.upper(), "0123456789abcdef" * 25, "Zz9_" * 100
+    rows = [(1, f'TOKEN = "{secret}" Password: {long_secret}! token={small} {long_hex}. Api_Key=QWERTY99 9A8b7C6d5E4f3A2b1C')]
+    text = surrogates.replaced(frame(spark, rows), "k").first()["text"]
+    m = re.fullmatch(r'TOKEN = "([0-9A-F]{40})" Password: ([A-Za-z0-9_]{400})! token=([0-9a-f]{40}) ([0-9a-f]{400})\. Api_Key=([A-Z]{6}[0-9]{2}) ([0-9A-Fa-f]{18})', text)
+    assert m and m[1] != secret and m[1].lower() == m[3] and m[2] != long_secret and m[4] != long_hex and m[5] != "QWERTY99" and m[6] != "9A8b7C6d5E4f3A2b1C"
+    assert m[4][:128] != m[4][128:256] and surrogates.replaced(frame(spark, rows), "k").first()["n_entities"] == 6
+
+
 def test_distinct_in_a_crowded_space(spark):
     """Addresses of four one-digit numbers: many collide at first, none at last."""
     rng = random.Random(2)
