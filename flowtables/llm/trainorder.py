@@ -133,24 +133,33 @@ def materialise(docs: DataFrame, path: str, key: int = 1, length: int = 2048, pe
             done = []
             for s, piece in zip(frame["slot"], frame["piece"], strict=True):
                 if s != slot and slot is not None:
-                    done.append((slot // per_shard, b"".join(parts).ljust(length, FILL)))
+                    done.append((slot // per_shard, slot, b"".join(parts).ljust(length, FILL)))
                     parts = []
                 slot = s
                 parts.append(piece)
-            yield pd.DataFrame(done, columns=["shard", "record"])
+            yield pd.DataFrame(done, columns=["shard", "slot", "record"])
         if slot is not None:
-            yield pd.DataFrame({"shard": [slot // per_shard], "record": [b"".join(parts).ljust(length, FILL)]})
+            yield pd.DataFrame({"shard": [slot // per_shard], "slot": [slot], "record": [b"".join(parts).ljust(length, FILL)]})
 
     pieces = rows.mapInPandas(cut, "slot long, sequence long, inside long, piece binary").withColumn("shard", F.expr(f"slot div {per_shard}"))
     shards = -(-sequences // per_shard)
     dealt = pieces.repartition(min(shards, 10_000), "shard").sortWithinPartitions("slot", "inside")
-    whole = dealt.select("slot", "piece").mapInPandas(join_pieces, "shard long, record binary")
+    whole = dealt.select("slot", "piece").mapInPandas(join_pieces, "shard long, slot long, record binary")
     # the text writer copies a string's bytes as they are
-    whole.select("shard", F.col("record").cast("string").alias("record")).write.partitionBy("shard").option("lineSep", "\n").text(path)
+    in_place(whole).write.partitionBy("shard").option("lineSep", "\n").text(path)
 
     return read_records(spark, path, sequences, key, length, per_shard)
 
 
+def in_place(whole: DataFrame) -> DataFrame:
+    """shard, record (as string), sorted by shard and slot in each partition.
+
+    The writer needs rows sorted by shard. It would sort them by that alone, and so
+    mix up the slots of a shard when it spills; this order is enough for it, and exact.
+    """
+    return whole.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("record"))
+
+
 def read_records(spark: SparkSession, path: str, sequences: int, key: int, length: int, per_shard: int) -> DataFrame:
     """slot, sequence, shard, record: every record of the shards below ``path``.
 

@@ -88,6 +88,16 @@ def test_round_trip_of_bytes(spark, folder):
             assert f.read(300) == bytes(r["record"]) and r["slot"] // 16 == r["shard"]
 
 
+def test_slots_order_the_records_of_a_file(spark, folder):
+    """Rows that come in another order are put in place by slot, and the writer adds no sort of its own that could undo it."""
+    rows = spark.range(0, 4000, numPartitions=1).selectExpr("id % 4 as shard", "(id * 7919) % 4000 as slot", "cast(lpad(cast((id * 7919) % 4000 as string), 9, '0') as binary) as record")
+    placed = trainorder.in_place(rows.withColumn("shard", trainorder.F.expr("slot div 1000")))
+    placed.write.partitionBy("shard").option("lineSep", "\n").text(folder + "/out")
+    for shard in range(4):
+        (file,) = glob.glob(f"{folder}/out/shard={shard}/part-*")
+        assert [int(line) for line in open(file)] == list(range(1000 * shard, 1000 * shard + 1000))
+
+
 def test_round_trip_of_byte_pairs(spark, folder):
     import base64
 
