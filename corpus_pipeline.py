@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's ``docs``. All but the last return the
-columns of ``documents``; the last adds the shard.
+columns of ``documents``; the last adds the shard and the position in the mixture.
 """
 
 from __future__ import annotations
@@ -38,8 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard of about SHARD_BYTES."""
-    return kdtree.with_shard(docs.select(*COLUMNS), SHARD_BYTES)
+    """All documents with their shard of about SHARD_BYTES and, as ``position``, their place in the mixture that the files are in."""
+    placed = mixing.with_position(docs.select(*COLUMNS))
+    return kdtree.with_shard(placed, SHARD_BYTES)
 
 
 STAGES = [

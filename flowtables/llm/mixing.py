@@ -16,19 +16,24 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from flowtables.llm.common import bucketed_rank
+from flowtables.llm.common import bucketed_rank, stored
 
 MAX_SOURCES = 100_000
 
 
-def period(parts: dict) -> list[tuple]:
-    """(source, block in the period, slot, release, deadline) by earliest deadline first."""
-    total = sum(parts.values())
+def period(parts: dict, singles: int = 0) -> list[tuple]:
+    """(source, block in the period, slot, release, deadline) by earliest deadline first.
+
+    ``singles`` more sources of one part each are not listed: they are released at once
+    and due at the end, so any slot that the others leave free will do for them.
+    """
+    total = sum(parts.values()) + singles
     jobs = sorted((j * total // n, -(-(j + 1) * total // n), k, s, j) for k, (s, n) in enumerate(parts.items()) for j in range(n))
-    ready, out, at = [], [], 0
-    for slot in range(total):
+    ready, out, at, slot = [], [], 0, -1
+    while len(out) < len(jobs):
+        slot = slot + 1 if ready else max(slot + 1, jobs[at][0])
         while at < len(jobs) and jobs[at][0] <= slot:
             release, deadline, k, s, j = jobs[at]
             heapq.heappush(ready, (deadline, k, j, s, release))
@@ -38,17 +43,25 @@ def period(parts: dict) -> list[tuple]:
     return out
 
 
-def phases(blocks: dict, parts: dict) -> list[dict]:
-    """Stretches of the mixture in which each source has a fixed number of blocks per period."""
+def phases(blocks: dict, parts: dict, singles: int = 0) -> list[dict]:
+    """Stretches of the mixture in which each source has a fixed number of blocks per period.
+
+    ``singles`` more sources have one block; they take part in the first stretch, which is one period then.
+    """
     left, done, base, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
+    if singles and not left:
+        return [{"counts": {}, "times": 1, "first": {}, "base": 0, "singles": singles}]
     while left:
         whole = min(left[s] // parts[s] for s in left)
+        if singles:
+            whole = min(whole, 1)
         for counts, times in (({s: parts[s] for s in left}, whole), ({s: min(parts[s], left[s] - whole * parts[s]) for s in left}, 1)):
             counts = {s: n for s, n in counts.items() if n}
             if not times or not counts:
                 continue
-            out.append({"counts": counts, "times": times, "first": {s: done[s] for s in counts}, "base": base})
-            base += times * sum(counts.values())
+            out.append({"counts": counts, "times": times, "first": {s: done[s] for s in counts}, "base": base, "singles": singles})
+            base += times * sum(counts.values()) + singles
+            singles = 0
             for s, n in counts.items():
                 done[s] += n * times
                 left[s] -= n * times
@@ -56,10 +69,10 @@ def phases(blocks: dict, parts: dict) -> list[dict]:
     return out
 
 
-def tempered_parts(sizes: dict, exponent: float = 0.5, total: int = 1000) -> dict:
-    """Whole parts (1 at least) in proportion to size ** exponent, about ``total`` in all."""
+def tempered_parts(sizes: dict, exponent: float = 0.5, total: int = 1000, others: float = 0.0) -> dict:
+    """Whole parts (1 at least) in proportion to size ** exponent, about ``total`` in all; ``others`` is the sum of the powers of sources not listed."""
     powers = {s: max(n, 1) ** exponent for s, n in sizes.items()}
-    whole = sum(powers.values())
+    whole = sum(powers.values()) + others
     return {s: max(1, round(total * p / whole)) for s, p in powers.items()}
 
 
@@ -75,21 +88,31 @@ def mixed(docs: DataFrame, parts: dict | None = None, block_bytes: int = 1 << 20
     A null source is a source. Rows alike in id, text and source are all kept and
     follow one another in any order. Order inside a source is by hash.
     An empty table gives an empty table; other columns are ignored. The driver
-    holds one number per source and a period of slots per phase; more than
-    ``MAX_SOURCES`` sources are an error.
+    holds one number per source and a period of slots per phase. Of more than
+    ``MAX_SOURCES`` sources it holds only those of two blocks or more, and the others
+    are a table that is spread like any other.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.greatest(F.coalesce(F.octet_length("text"), F.lit(1)), F.lit(1)).cast("long").alias("size"), F.xxhash64("text").alias("_text"))
-    sizes = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()}
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    by_source = rows.groupBy("source").agg(F.sum("size").alias("size"))
+    found = by_source.limit(MAX_SOURCES + 1).collect()
+    few = None
+    if len(found) > MAX_SOURCES:
+        by_source = stored(by_source, "sources")
+        few = by_source.where(F.col("size") <= block_bytes)
+        found = by_source.where(F.col("size") > block_bytes).collect()
+    sizes = {r["source"]: r["size"] for r in found}
     sizes = dict(sorted(sizes.items(), key=lambda kv: (kv[0] is not None, kv[0] or "")))
-    weights = tempered_parts(sizes) if parts is None else {s: max(1, int(parts.get(s, 1))) for s in sizes}
+    singles, powers = (0, 0.0) if few is None else few.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.sqrt("size")), F.lit(0.0))).first()
+    weights = tempered_parts(sizes, others=powers) if parts is None else {s: max(1, int(parts.get(s, 1))) for s in sizes}
     blocks = {s: -(-n // block_bytes) for s, n in sizes.items()}
-    table = _slot_table(spark, phases(blocks, weights))
+    stretches = phases(blocks, weights, singles)
+    table = _slot_table(spark, stretches)
+    if singles:
+        table = table.unionByName(_single_slots(few, stretches[0]))
 
     ranked = bucketed_rank(rows, ["source"], ["doc_id", "_text"], weight="size").withColumn("block", F.expr(f"_before div {block_bytes}"))
-    r, t = ranked.alias("r"), F.broadcast(table).alias("t")
+    r, t = ranked.alias("r"), (table if singles else F.broadcast(table)).alias("t")
     placed = r.join(t, F.col("r.source").eqNullSafe(F.col("t.source")) & F.expr("r.block >= t.first_block and r.block < t.last_block and (r.block - t.first_block) % t.in_period = t.at"))
     turn = F.expr("t.base + (r.block - t.first_block) div t.in_period * t.length")
     out = placed.select("r.doc_id", "r.source", "r.size", "r.block", "r._rank", (turn + F.col("t.slot")).alias("slot"), (turn + F.col("t.release")).alias("release"), (turn + F.col("t.deadline")).alias("deadline"))
@@ -102,17 +125,29 @@ def mixed(docs: DataFrame, parts: dict | None = None, block_bytes: int = 1 << 20
 def _slot_table(spark: SparkSession, stretches: list[dict]) -> DataFrame:
     rows = []
     for p in stretches:
-        length = sum(p["counts"].values())
-        for s, j, slot, release, deadline in period(p["counts"]):
+        length = sum(p["counts"].values()) + p["singles"]
+        for s, j, slot, release, deadline in period(p["counts"], p["singles"]):
             n, first = p["counts"][s], p["first"][s]
             rows.append((s, first, first + n * p["times"], n, j, p["base"], length, slot, release, deadline))
     return spark.createDataFrame(rows, "source string, first_block long, last_block long, in_period long, at long, base long, length long, slot long, release long, deadline long")
 
 
+def _single_slots(few: DataFrame, first: dict) -> DataFrame:
+    """Rows as in :func:`_slot_table` for sources of one block: source number r gets slot r of the
+    first stretch or, if that is taken, one of the free slots beyond the number of these sources."""
+    spark, n = few.sparkSession, first["singles"]
+    taken = {p[2] for p in period(first["counts"], n)}
+    length = n + len(taken)
+    free = iter([s for s in range(n, length) if s not in taken])
+    moved = spark.createDataFrame([(s, next(free)) for s in sorted(taken) if s < n], "_rank long, _other long")
+    numbered = bucketed_rank(few.select("source"), [], ["source"]).join(F.broadcast(moved), "_rank", "left")
+    number = lambda v: F.lit(v).cast("long")
+    return numbered.select("source", number(0).alias("first_block"), number(1).alias("last_block"), number(1).alias("in_period"), number(0).alias("at"), number(0).alias("base"),
+                           number(length).alias("length"), F.coalesce("_other", "_rank").alias("slot"), number(0).alias("release"), number(length).alias("deadline"))
+
+
 def _running(per_slot: DataFrame, chunk: int = 100_000) -> DataFrame:
     """slot, first_rank, start: sum of n over earlier slots, in chunks so that no task sorts all slots."""
-    from pyspark.sql import Window
-
     chunked = per_slot.withColumn("_c", F.expr(f"slot div {chunk}"))
     sums = chunked.groupBy("_c").agg(F.sum("n").alias("_n"))
     before = sums.select("_c", F.coalesce(F.sum("_n").over(Window.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
@@ -131,3 +166,27 @@ def in_mixed_order(docs: DataFrame, parts: dict | None = None, block_bytes: int
     parts_out = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = joined.repartitionByRange(parts_out, "_position").sortWithinPartitions("_position")
     return ordered.select(*[F.col(c) for c in docs.columns])
+
+
+def _items(found) -> list:
+    return [found.apply(i) for i in range(found.size())]
+
+
+def with_position(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position`` (from 0), the place of each row in the files they were read from, by name and from top to bottom.
+
+    However a reader packs or splits the files, this is the order in which they were
+    written. Rows that do not come from Parquet files have no order, and are given back as they are.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or "_metadata" not in [c.name() for c in _items(plan.metadataOutput())]:
+        return docs
+    name, index = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    files = docs.groupBy(name.alias("_file")).agg((F.max(index) + 1).alias("_n"))
+    # names part-<number>-...: beyond 99999 the number is longer
+    earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    rows = docs.select(*docs.columns, name.alias("_name"), index.alias("_index"))
+    return rows.join(F.broadcast(begins), F.col("_name") == F.col("_file")).select(*docs.columns, (F.col("_begin") + F.col("_index")).alias("position"))

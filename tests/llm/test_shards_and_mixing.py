@@ -94,3 +94,33 @@ def test_mixture_is_whole_and_even(spark):
         place.setdefault(r["doc_id"], r["position"])
     assert [place[r["doc_id"]] for r in ordered.collect()] == sorted(place[i] for i, _ in rows)
     assert mixing.mixed(docs.where("false")).count() == 0 and mixing.in_mixed_order(docs.where("false")).count() == 0
+
+
+def test_many_small_sources_are_a_table(spark, monkeypatch):
+    """Beyond MAX_SOURCES nothing fails: sources of one block get slots in a table, the others on the driver."""
+    monkeypatch.setattr(mixing, "MAX_SOURCES", 20)
+    rows = [(i, "x" * 400, f"s{i}") for i in range(90)] + [(1000 + i, "y" * 700, [None, "big"][i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mixed(docs, block_bytes=1000).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(len(rows))) and Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    owners, last = defaultdict(set), {}
+    for r in got:
+        owners[r["slot"]].add((r["source"], r["block"]))
+        assert r["release"] <= r["slot"] < r["deadline"] and last.get(r["source"], -1) <= r["block"]
+        last[r["source"]] = r["block"]
+    assert all(len(v) == 1 for v in owners.values()) and [r["slot"] for r in got] == sorted(r["slot"] for r in got)
+    none = spark.createDataFrame(rows[:90], "doc_id long, text string, source string")
+    assert sorted(r["slot"] for r in mixing.mixed(none, block_bytes=1000).collect()) == list(range(90))
+
+
+def test_last_stage_knows_the_order_of_the_files(spark, folder):
+    import corpus_pipeline
+
+    docs = frame(spark, many_rows(5)).where("doc_id is not null").dropDuplicates(["doc_id"])
+    place = {r["doc_id"]: r["position"] for r in mixing.mixed(docs, block_bytes=2000).collect()}
+    mixing.in_mixed_order(docs, block_bytes=2000).write.parquet(folder + "/mixed")
+    again = spark.read.parquet(folder + "/mixed")
+    got = corpus_pipeline.STAGES[-1][1](spark, again, None)
+    assert got.columns == [*corpus_pipeline.COLUMNS, "shard", "position"] or got.columns == [*corpus_pipeline.COLUMNS, "position", "shard"]
+    assert {r["doc_id"]: r["position"] for r in got.collect()} == place
+    assert mixing.with_position(docs).columns == docs.columns
