@@ -22,6 +22,16 @@ def ship_functions(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An id for a Python task. As a number it would become a double, and large ones rounded, wherever a null is among them."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def with_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
+    """``df`` with :func:`id_text` undone."""
+    return df.withColumn(name, F.col(name).cast("long"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowtables.llm.common import may_contain, ship_functions, stored
+from flowtables.llm.common import id_text, may_contain, ship_functions, stored, with_id
 from flowtables.llm.components import components
 from flowtables.llm.shingles import WordHashes, shingle_set
 
@@ -61,8 +61,8 @@ def signatures(docs: DataFrame, coordinates: int = 48, width: int = 5) -> DataFr
                 signs.append(((low ^ salts) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64) if len(s) else None)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "text": frame["text"], "n_shingles": sizes, "cls": classes, "signature": signs})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(work, "doc_id long, text string, n_shingles long, cls binary, signature array<long>")
+    rows = docs.select(id_text(), F.col("text").cast("string").alias("text"))
+    return with_id(rows.mapInPandas(work, "doc_id string, text string, n_shingles long, cls binary, signature array<long>"))
 
 
 def compared(pairs: DataFrame, texts: DataFrame, width: int, differing: bool) -> DataFrame:

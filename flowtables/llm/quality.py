@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from flowtables.llm.common import ship_functions
+from flowtables.llm.common import id_text, ship_functions, with_id
 
 PASSAGE_WORDS = 100
 HASHED = 32
@@ -173,8 +173,8 @@ def with_score(docs: DataFrame, model: dict) -> DataFrame:
                 scores.append(forward(np.concatenate(bags), starts, model)["score"])
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": np.concatenate(scores).astype(float) if scores else np.empty(0)})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(work, "doc_id long, score double")
+    rows = docs.select(id_text(), F.col("text").cast("string").alias("text"))
+    return with_id(rows.mapInPandas(work, "doc_id string, score double"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from flowtables.llm.common import may_contain, ship_functions, stored
+from flowtables.llm.common import id_text, may_contain, ship_functions, stored, with_id
 
 LENGTH, REACH, GRAM = 400, 256, 16  # 2 * REACH positions hold a sample of every string
 FIRST = LENGTH - REACH
@@ -91,9 +91,9 @@ def named_suffixes(docs: DataFrame) -> DataFrame:
                     for context, places in seen.items():
                         key = xxhash.xxh64_intdigest(data[places[0] : places[0] + FIRST])
                         rows.append((doc_id, mark, key - (1 << 63), context, places))
-                yield pd.DataFrame(rows, columns=["doc_id", "mark", "key", "context", "places"]).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=["doc_id", "mark", "key", "context", "places"])
 
-    return docs.mapInPandas(work, "doc_id long, mark long, key long, context binary, places array<int>")
+    return with_id(docs.withColumn("doc_id", id_text()).mapInPandas(work, "doc_id string, mark long, key long, context binary, places array<int>"))
 
 
 def repeated_offsets(lefts: list[bytes], rights: list[bytes], groups: np.ndarray) -> np.ndarray:
@@ -229,16 +229,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 kept = np.frombuffer(text, np.uint8)[~covered].tobytes()
                 spans = [{"start": int(a), "end": int(b)} for a, b in zip(starts, ends, strict=True)]
                 out.append((doc_id, len(text), int(covered.sum()), len(starts), hashlib.sha256(kept).hexdigest(), spans))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: long, end: long>>"
+    schema = "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start: long, end: long>>"
     hit = may_contain(per_doc, "mark")(F.col("mark"))
     flagged = rows.withColumn("_hit", hit)
-    joined = flagged.where("_hit").alias("r").join(per_doc.alias("p"), F.expr("r.doc_id <=> p.doc_id and r.mark = p.mark"), "left").select("r.doc_id", "r.data", "p.offsets")
+    joined = flagged.where("_hit").alias("r").join(per_doc.alias("p"), F.expr("r.doc_id <=> p.doc_id and r.mark = p.mark"), "left").select(id_text("r.doc_id").alias("doc_id"), "r.data", "p.offsets")
     whole = flagged.where("not _hit").select(
         "doc_id", F.octet_length("data").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2("data", 256).alias("kept_sha256"), F.array().cast("array<struct<start: bigint, end: bigint>>").alias("removed"))
-    return joined.mapInPandas(cut, schema).union(whole)
+    return with_id(joined.mapInPandas(cut, schema)).union(whole)
 
 
 def _of_documents(rows: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowtables.llm.common import ship_functions, stored
+from flowtables.llm.common import id_text, ship_functions, stored, with_id
 
 END, FILL = b"\xff", b"\xfe"
 ROUNDS = 6
@@ -72,8 +72,8 @@ def tokenised(docs: DataFrame, ranks: str | None = None) -> DataFrame:
             made = [np.array([*coder.encode_ordinary(t or ""), end], kind).tobytes() for t in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"], "tokens": made})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(work, "doc_id long, tokens binary")
+    rows = docs.select(id_text(), F.col("text").cast("string").alias("text"))
+    return with_id(rows.mapInPandas(work, "doc_id string, tokens binary"))
 
 
 def materialise(docs: DataFrame, path: str, key: int = 1, length: int = 2048, per_shard: int = 4096, ranks: str | None = None) -> DataFrame:
