@@ -36,6 +36,7 @@ from flowtables.llm.common import id_text, may_contain, ship_functions, stored,
 
 LENGTH, REACH, GRAM = 400, 256, 16  # 2 * REACH positions hold a sample of every string
 FIRST = LENGTH - REACH
+MANY = 8192  # a first name with more contexts is not merged in one task, its strings are counted by Spark
 
 
 def sample(data: bytes) -> np.ndarray:
@@ -166,6 +167,31 @@ def _merged(contexts: DataFrame, batch: int = 8192) -> DataFrame:
     return contexts.sortWithinPartitions("key").mapInPandas(work, "key long, context binary, lows array<int>, highs array<int>")
 
 
+def _counted(contexts: DataFrame) -> DataFrame:
+    """What :func:`_merged` gives, by counting: each context is spread to its strings, no task holds a group.
+
+    A digest is of a string and its offset; these fix the first name too. Counts
+    are partial before the shuffle, and a context has each digest once.
+    """
+
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), 200):
+                part, rows = frame.iloc[at : at + 200], []
+                for key, context, before, after in zip(part["key"], part["context"], part["before"], part["after"], strict=True):
+                    data, place = before + after, len(before)
+                    for l in range(max(0, LENGTH - len(after)), min(place, REACH - 1) + 1):  # noqa: E741
+                        rows.append((key, context, l, xxhash.xxh128_digest(data[place - l : place - l + LENGTH] + l.to_bytes(2, "little"))))
+                yield pd.DataFrame(rows, columns=["key", "context", "l", "digest"])
+
+    strings = stored(contexts, "surroundings").mapInPandas(spread, "key long, context binary, l int, digest binary")
+    twice = stored(strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "repeated")
+    known = may_contain(twice.select(F.xxhash64("digest").alias("h")), "h")
+    hits = strings.where(known(F.xxhash64("digest"))).join(twice, "digest", "left_semi")
+    listed = hits.groupBy("key", "context").agg(F.collect_set("l").alias("ls")).withColumn("ls", F.array_sort("ls"))
+    return listed.selectExpr("key", "context", "filter(ls, x -> not array_contains(ls, x - 1)) as lows", "filter(ls, x -> not array_contains(ls, x + 1)) as highs")
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed: one row per row of ``docs`` (doc_id, text).
 
@@ -176,7 +202,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Rows that repeat a document are documents of their own, so long ones lose all.
     Empty and short texts lose nothing. Null ids are ids. Other columns are
     ignored; an empty table gives an empty table. A task holds the distinct
-    surroundings (655 bytes each) of the suffixes that share 144 bytes.
+    surroundings (655 bytes each) of the suffixes that share 144 bytes if there are at
+    most ``MANY``; more are counted string by string, see :func:`_counted`.
     """
     data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "utf-8")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), data.alias("data"))
@@ -189,9 +216,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     contexts = shared.groupBy("key", "context").agg(
         F.sum(F.size("places")).alias("n"), F.min(F.struct("doc_id", "mark", F.element_at("places", 1).alias("place"))).alias("at"))
     contexts = stored(contexts.select("key", "context", "n", "at.*"), "contexts")
-    mixed = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("key")
-    wanted = contexts.join(mixed, "key").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "context", "place")).alias("wanted"))
-    wanted = stored(wanted, "wanted")
+    mixed = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1")
+    mixed = stored(mixed.select("key", (F.col("m") > MANY).alias("many")), "mixed")
 
     def surroundings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -200,9 +226,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     [(w["key"], w["context"], text[max(0, w["place"] - REACH + 1) : w["place"]], text[w["place"] : w["place"] + LENGTH]) for w in listed],
                     columns=["key", "context", "before", "after"])
 
-    found_in = _of_documents(rows, wanted)
-    around = found_in.select("data", "wanted").mapInPandas(surroundings, "key long, context binary, before binary, after binary")
-    merged = _merged(around.dropDuplicates(["key", "context"]).repartition("key"))
+    def around(chosen: DataFrame) -> DataFrame:
+        wanted = contexts.join(chosen.select("key"), "key").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "context", "place")).alias("wanted"))
+        found_in = _of_documents(rows, stored(wanted, "wanted"))
+        return found_in.select("data", "wanted").mapInPandas(surroundings, "key long, context binary, before binary, after binary").dropDuplicates(["key", "context"])
+
+    merged = _merged(around(mixed.where("not many")).repartition("key"))
+    if not mixed.where("many").isEmpty():
+        merged = merged.union(_counted(around(mixed.where("many"))))
 
     # strings through a suffix: all that fit if its names occur twice, else those that the merge found
     twice = contexts.where("n > 1").select("key", "context", F.array(F.lit(0)).alias("lows"), F.array(F.lit(REACH - 1)).alias("highs"))

@@ -62,3 +62,21 @@ def test_every_string_has_a_sample_in_reach(spark):
 
 def test_empty_table(spark):
     assert suffixes.without_repeats(frame(spark, corpus()).where("false")).count() == 0
+
+
+def test_keys_with_many_contexts_are_counted_alike(spark, monkeypatch):
+    """A passage in other surroundings each time: counting by Spark finds what the merge in one task finds."""
+    import random
+
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = noise(700)
+    rows = [(i, noise(300) + (noise(rng.randint(0, 9)) + passage)[: rng.randint(500, 709)] + noise(rng.randint(0, 300))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    result = lambda: sorted(tuple(r) for r in suffixes.without_repeats(docs).collect())
+    merged = result()
+    seen = []
+    monkeypatch.setattr(suffixes, "MANY", 3)
+    counted = suffixes._counted
+    monkeypatch.setattr(suffixes, "_counted", lambda c: seen.append(1) or counted(c))
+    assert result() == merged and seen and sum(r[2] for r in merged) > 40 * 400
