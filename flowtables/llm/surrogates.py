@@ -96,13 +96,15 @@ def _octet(value: Column, n: Column, wide: Column) -> Column:
     return F.when(wide, n % 254 + 1).when(size == 1, n % 9 + 1).when(size == 2, n % 90 + 10).otherwise(n % 156 + 100).cast("string")
 
 
-def _person(value: Column, seed: Column) -> Column:
+def _person(value: Column, seed: Column, attempt: Column) -> Column:
+    """A given name of the same gender and a surname of four syllables, one more after every eight attempts."""
     given = F.substring_index(value, " ", 1)
     out = value
     for (_, script), names in GIVEN_NAMES.items():
         part = lambda i, s=script: F.element_at(F.array(*[F.lit(x) for x in SYLLABLES[s]]), _number(seed, i) % len(SYLLABLES[s]) + 1)
         first = F.element_at(F.array(*[F.lit(x) for x in names]), _number(seed, 0) % len(names) + 1)
-        surname = F.initcap(F.concat(part(1), part(2), part(3), part(4)))
+        further = F.array_join(F.transform(F.sequence(F.lit(0), F.floor(attempt / 8).cast("int")), lambda i: F.when(i > 0, part(i + 4)).otherwise(F.lit(""))), "")  # noqa: B023
+        surname = F.initcap(F.concat(part(1), part(2), part(3), part(4), further))
         out = F.when(given.isin(names), F.concat_ws(" ", first, surname)).otherwise(out)
     return out
 
@@ -131,7 +133,7 @@ def surrogate(kind: Column, value: Column, secret: str, attempt: Column) -> Colu
     further = F.transform(F.sequence(F.lit(1), F.floor((F.length(value) - 1) / 128).cast("int")), lambda i: F.sha2(F.concat(seed, i.cast("string")), 512))
     digits = F.when(F.length(value) > 128, F.concat(seed, F.array_join(further, ""))).otherwise(seed)
     token = F.substring(digits, F.lit(1), F.length(value))
-    made = {"secret": _like(value, seed), "email": email, "card": card, "phone": phone, "ssn": ssn, "ipv4": ip, "access_key": key, "hex_token": token, "person": _person(value, seed)}
+    made = {"secret": _like(value, seed), "email": email, "card": card, "phone": phone, "ssn": ssn, "ipv4": ip, "access_key": key, "hex_token": token, "person": _person(value, seed, attempt)}
     out = F.lit(None).cast("string")
     for name, column in made.items():
         out = F.when(kind == name, column).otherwise(out)

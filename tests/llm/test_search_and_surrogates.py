@@ -100,6 +100,13 @@ def test_distinct_in_a_crowded_space(spark):
     assert len(made) == len(real) == len({r["made"] for r in made}) and not {r["made"] for r in made} & set(real)
 
 
+def test_space_of_persons_grows_with_attempts(spark):
+    F = surrogates.F  # noqa: N806
+    made = lambda attempt: [r[0] for r in spark.range(40).select(surrogates.surrogate(F.lit("person"), F.concat(F.lit("Anna S"), F.col("id").cast("string")), "k", F.lit(attempt))).collect()]
+    lengths = [[len(x.split(" ")[1]) for x in made(a)] for a in (0, 7, 8, 60)]
+    assert max(lengths[0] + lengths[1]) <= 12 and min(lengths[2]) >= 10 and min(lengths[3]) >= 22 and max(lengths[3]) <= 33
+
+
 def test_documents_without_data(spark):
     docs = frame(spark, corpus(8))
     got = surrogates.replaced(docs, "k")
