@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowtables.llm import decontaminate, hamming, kdtree, minhash, mixing, quality, suffixes, surrogates, trainorder, warc
+from flowtables.llm import anchors, decontaminate, hamming, importance, kdtree, minhash, mixing, quality, suffixes, surrogates, trainorder, warc, whitening
 from flowtables.llm.common import read_table
 from flowtables.llm.oracles import LLM_ORACLES  # noqa: F401
 from flowtables.session import scratch_dir
@@ -54,6 +54,21 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.nearest(codes, codes.where("id % 50 = 0"), k=10)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark."""
+    docs, target = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return importance.resampled(docs, target, runs=1, buckets=10_000, percent=10, min_words=20, seed=2024).drop("n_words")
+
+
+def op12_choleskyqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(read_table(spark, sf_dir, "embeddings"), count=8)
+
+
+def op13_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.without_repeats(read_table(spark, sf_dir, "documents"), window=35).drop("removed")
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_kdtree_sharding, op3_warc_derivatives, op4_mil_quality, op5_training_order, op6_benchmark_containment,
-    op7_pfair_mixing, op8_pii_surrogates, op9_minhash_near_dedup, op10_exact_topk)}
+    op7_pfair_mixing, op8_pii_surrogates, op9_minhash_near_dedup, op10_exact_topk,
+    op11_importance_resampling, op12_choleskyqr_whitening, op13_anchor_dedup)}

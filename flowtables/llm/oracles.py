@@ -80,9 +80,56 @@ WITH c AS (
 SELECT query_id, id, distance, (row_number() OVER (PARTITION BY query_id ORDER BY distance, id))::INT AS rank
 FROM far QUALIFY rank <= 10"""
 
+RESAMPLED = r"""
+WITH f AS (
+  SELECT 'd' AS side, doc_id AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+  UNION ALL
+  SELECT 'b', item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+), bytes AS (
+  -- crc32 of each word, byte by byte, over its hex digits
+  SELECT w, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(w)), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS c
+  FROM (SELECT DISTINCT w FROM f)
+), h AS (
+  SELECT side, id, xor(c, 4294967295) % 10000 AS bucket FROM f JOIN bytes USING (w)
+), counts AS (
+  SELECT b AS bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+  FROM range(10000) r(b) LEFT JOIN h ON h.bucket = b GROUP BY b
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+), weights AS (
+  SELECT id AS doc_id, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight FROM h JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked"""
+
+WORD_REPEATS = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, p, md5(array_to_string(w[p : p + 34], ' ')) AS m FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)
+), hit AS (
+  SELECT doc_id, p, TRUE AS again FROM win JOIN (SELECT m FROM win GROUP BY m HAVING count(*) > 1) USING (m)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), marked AS (
+  SELECT doc_id, word, p, coalesce(bool_or(again) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), FALSE) AS gone
+  FROM words LEFT JOIN hit USING (doc_id, p)
+), kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '') AS k FROM marked GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)"""
+
 LLM_ORACLES = {
     "op1_suffix_dedup": REPEATS,
     "op6_benchmark_containment": CONTAINMENT,
     "op9_minhash_near_dedup": NEAR_DUPLICATES,
     "op10_exact_topk": NEAREST,
+    "op11_importance_resampling": RESAMPLED,
+    "op13_anchor_dedup": WORD_REPEATS,
 }
