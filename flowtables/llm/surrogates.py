@@ -7,8 +7,9 @@ Surrogates that two entities would share, or that are somebody's real entity, ar
 made anew with the next attempt until all differ. So equal entities are replaced
 alike everywhere and different ones stay different.
 
-DataFrame functions only. The table of entities is spread like any other; texts
-meet only the replacements of their own mentions.
+DataFrame functions only. The table of entities is spread like any other. Texts are
+searched once; those without a mention go straight to the result, and only the
+others meet the replacements of their own mentions.
 """
 
 from __future__ import annotations
@@ -150,14 +151,20 @@ def laid_out(kind: Column, mention: Column, made: Column) -> Column:
     return out.when((kind == "hex_token") & (mention != F.lower(mention)), mixed).otherwise(made)
 
 
+def _longer(made: Column, attempt: Column) -> Column:
+    """Beyond ``ATTEMPTS`` a format has no room for all its entities; its surrogates then get digits more, so that there is an end."""
+    return F.when(attempt > ATTEMPTS, F.concat(made, F.substring(F.conv(F.substring(F.md5(F.concat(made, attempt.cast("string"))), 1, 15), 16, 10), 1, 12))).otherwise(made)
+
+
 def entity_table(entities: DataFrame, secret: str) -> DataFrame:
     """kind, value, made: a different surrogate for each distinct (kind, value), none of them a value of that kind."""
     settled = None
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     waiting = stored(entities.distinct().withColumn("attempt", F.lit(0)), "entities")
     real = waiting.select(F.col("kind").alias("k"), F.col("value").alias("v"))
     while not waiting.isEmpty():
-        tried = waiting.withColumn("made", surrogate(F.col("kind"), F.col("value"), secret, F.col("attempt")))
-        tried = stored(tried, "tried")
+        spread = waiting.repartition(tasks, "kind", "value")
+        tried = stored(spread.withColumn("made", _longer(surrogate(F.col("kind"), F.col("value"), secret, F.col("attempt")), F.col("attempt"))), "tried")
         first = tried.groupBy("kind", "made").agg(F.min("value").alias("value"))
         free = first.join(real, (F.col("kind") == F.col("k")) & (F.col("made") == F.col("v")), "left_anti")
         if settled is not None:
@@ -165,34 +172,32 @@ def entity_table(entities: DataFrame, secret: str) -> DataFrame:
         free = free.select("kind", "value", "made")
         settled = stored(free if settled is None else settled.unionByName(free), "settled")
         waiting = stored(tried.drop("made").join(settled, ["kind", "value"], "left_anti").withColumn("attempt", F.col("attempt") + 1), "waiting")
-        if waiting.where(f"attempt > {ATTEMPTS}").limit(1).count():
-            raise ValueError("more entities of one format than there are surrogates")
     return entities.sparkSession.createDataFrame([], "kind string, value string, made string") if settled is None else settled
 
 
 def replaced(docs: DataFrame, secret: str) -> DataFrame:
     """``docs`` with surrogates in ``text`` and a column ``n_entities`` (replaced if there is one).
 
-    All rows and other columns stay. A null text stays null with no entities, an
+    All rows and other columns, of any names, stay. A null text stays null with no entities, an
     empty one empty. Mentions do not overlap: at each place the first kind of
     ``PATTERNS`` that fits counts. Rows alike get the same text. Documents in
-    which nothing is found are given back unchanged.
+    which nothing is found are given back unchanged, and are not shuffled.
+    An empty table gives an empty table.
     """
     kept = [c for c in docs.columns if c != "n_entities"]
     found = F.regexp_extract_all("text", F.lit(ANY), 0)
-    mark = F.xxhash64("text")
-    said = docs.select("doc_id", mark.alias("_mark"), F.explode(F.array_distinct(found)).alias("mention")).distinct()
-    said = said.withColumn("kind", kind_of(F.col("mention")))
-    said = stored(said.withColumn("value", normal_form(F.col("kind"), F.col("mention"))), "mentions")
-    table = entity_table(said.select("kind", "value"), secret)
-    changes = said.join(table, ["kind", "value"]).withColumn("new", laid_out(F.col("kind"), F.col("mention"), F.col("made")))
-    per_row = changes.groupBy("doc_id", "_mark").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("_changes")).withColumnRenamed("doc_id", "_id")
-    per_row = stored(per_row, "changes")
-    rows = docs.select(*kept, mark.alias("_row")).join(per_row, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_mark")), "left")
-    hit = F.col("_changes").isNotNull()
-    mentions = F.when(hit, found)
-    news = F.transform(mentions, lambda m: F.coalesce(F.element_at("_changes", m), m))
-    pieces = F.split("text", ANY, -1)
-    joined = F.array_join(F.flatten(F.zip_with(pieces, news, lambda p, n: F.array(F.coalesce(p, F.lit("")), F.coalesce(n, F.lit(""))))), "")
-    text = F.when(hit, joined).otherwise(F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in kept], F.coalesce(F.size(mentions), F.lit(0)).alias("n_entities")).withColumn("n_entities", F.greatest("n_entities", F.lit(0)))
+    rows = stored(docs.select(F.struct(*kept).alias("doc"), F.monotonically_increasing_id().alias("row"), found.alias("found")), "searched")
+    hit = F.coalesce(F.size("found") > 0, F.lit(False))
+    said = rows.where(hit).select("row", F.explode(F.array_distinct("found")).alias("mention"))
+    entities = said.select("mention").distinct().withColumn("kind", kind_of(F.col("mention")))
+    entities = stored(entities.withColumn("value", normal_form(F.col("kind"), F.col("mention"))), "mentions")
+    table = entity_table(entities.select("kind", "value"), secret)
+    changes = stored(entities.join(table, ["kind", "value"]).select("mention", laid_out(F.col("kind"), F.col("mention"), F.col("made")).alias("new")), "changes")
+    per_row = said.join(changes.hint("merge"), "mention").groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("changes"))
+    rewritten = rows.where(hit).join(per_row.hint("merge"), "row")
+    news = F.transform("found", lambda m: F.element_at("changes", m))
+    pieces = F.split("doc.text", ANY, -1)
+    text = F.array_join(F.flatten(F.zip_with(pieces, news, lambda p, n: F.array(F.coalesce(p, F.lit("")), F.coalesce(n, F.lit(""))))), "")
+    untouched = rows.where(~hit).select("doc.*", F.lit(0).alias("n_entities"))
+    changed = rewritten.withColumn("doc", F.col("doc").withField("text", text)).select("doc.*", F.size("found").alias("n_entities"))
+    return untouched.unionByName(changed)
