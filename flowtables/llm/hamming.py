@@ -8,7 +8,8 @@ leaves once its k-th verified distance is covered. A pair is taken from the firs
 of its nearest segments only, so no round meets it twice.
 
 Equal codes are one entry with their k + 1 smallest ids, on either side, so a
-vector that is very common is probed once.
+vector that is very common is probed once. (Whatever else has that code comes after
+those ids.) What is kept and counted for a query are different ids, not codes.
 """
 
 from __future__ import annotations
@@ -66,9 +67,8 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     known = codes.where("id is not null and code is not null").select("id", "code").distinct()
     asked = stored(queries.where("id is not null and code is not null").select(F.col("id").alias("query_id"), F.col("code").alias("query")).distinct(), "queries")
     best_ids = known.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(f"r <= {k + 1}")
-    entries = stored(best_ids.select("code", "id"), "entries")
-    codes_of = entries.groupBy("code").agg(F.min("id").alias("low_id"), F.count(F.lit(1)).alias("copies"))
-    index = stored(codes_of.select("code", "low_id", "copies", F.inline(_segments("code"))), "index")
+    codes_of = best_ids.groupBy("code").agg(F.collect_list("id").alias("ids"))
+    index = stored(codes_of.select("code", "ids", F.inline(_segments("code"))), "index")
 
     far = F.array(*[F.expr(f"bit_count({_part('(query ^ code)', i)})") for i in range(len(SEGMENTS))])
     waiting = asked.select("query").distinct().withColumn("bound", F.lit(BITS))
@@ -76,16 +76,17 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     for radius in range(max(width for _, width in SEGMENTS) + 1):
         hits = _probes(waiting, radius).join(index.hint("shuffle_hash"), ["segment", "value"]).where("bit_count(query ^ code) <= bound")
         hits = hits.where((F.array_min(far) == radius) & (F.array_position(far, F.lit(radius)) == F.col("segment") + 1))
-        hits = hits.select("query", "code", "low_id", "copies", F.expr("bit_count(query ^ code)").alias("distance"))
+        hits = hits.select("query", F.explode("ids").alias("id"), F.expr("bit_count(query ^ code)").alias("distance"))
         seen = hits if found is None else found.unionByName(hits)
-        # the first k + 1 codes hold the first k + 1 ids; one of them may be the query itself
-        first = Window.partitionBy("query").orderBy("distance", "low_id")
-        found = stored(seen.withColumn("r", F.row_number().over(first)).where(f"r <= {k + 1}").drop("r"), "found")
+        # an id counts once, by its nearest code; of k + 1 ids one may be the query itself
+        ids = seen.groupBy("query", "id").agg(F.min("distance").alias("distance"))
+        first = Window.partitionBy("query").orderBy("distance", "id")
+        found = stored(ids.withColumn("r", F.row_number().over(first)).where(f"r <= {k + 1}").drop("r"), "found")
         covered = len(SEGMENTS) * (radius + 1) - 1
-        done = found.where(f"distance <= {covered}").groupBy("query").agg(F.sum("copies").alias("have")).where(f"have > {k}").select("query")
+        done = found.where(f"distance <= {covered}").groupBy("query").agg(F.count(F.lit(1)).alias("have")).where(f"have > {k}").select("query")
         done = stored(waiting.select("query") if covered >= BITS else done, "done")
-        answers.append(found.join(done, "query", "left_semi").select("query", "code", "distance"))
-        # nothing farther than the last of k + 1 codes that are known can matter
+        answers.append(found.join(done, "query", "left_semi").select("query", "id", "distance"))
+        # nothing farther than the last of k + 1 ids that are known can matter
         reached = found.groupBy("query").agg(F.when(F.count(F.lit(1)) > k, F.max("distance")).alias("reached"))
         waiting = waiting.select("query").join(done, "query", "left_anti").join(reached, "query", "left")
         waiting = stored(waiting.select("query", F.coalesce("reached", F.lit(BITS)).alias("bound")), "waiting")
@@ -95,7 +96,6 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     answer = answers[0]
     for more in answers[1:]:
         answer = answer.union(more)
-    ids = answer.join(entries, "code").select("query", "id", "distance")
-    per_query = asked.join(ids, "query").where("id != query_id").groupBy("query_id", "id").agg(F.min("distance").alias("distance"))
+    per_query = asked.join(answer, "query").where("id != query_id").groupBy("query_id", "id").agg(F.min("distance").alias("distance"))
     order = Window.partitionBy("query_id").orderBy("distance", "id")
     return per_query.withColumn("rank", F.row_number().over(order)).where(f"rank <= {k}").select("query_id", "id", "distance", "rank")

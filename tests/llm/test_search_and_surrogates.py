@@ -34,6 +34,17 @@ def test_nearest_codes(spark):
         assert sorted(tuple(r) for r in hamming.nearest(table, asked, k).collect()) == brute(codes, queries, k)
 
 
+def test_ids_with_many_codes_near_a_query(spark):
+    """Codes of one id fill no places of others, on either side."""
+    rng = random.Random(4)
+    base = rng.getrandbits(62)
+    codes = [(1, base), (1, base ^ 1), (1, base ^ 6), (3, base ^ 255), (4, base ^ 1023), (5, base ^ 4095 << 20), (1, base ^ 7 << 40)]
+    codes += [(2, base ^ (1 << i)) for i in range(30)] + [(6 + i % 4, base ^ rng.getrandbits(20)) for i in range(60)] + [(20 + i, base ^ 1) for i in range(8)]
+    table = spark.createDataFrame(codes, "id long, code long")
+    for k in (1, 3, 9):
+        assert sorted(tuple(r) for r in hamming.nearest(table, table.where("id < 5"), k).collect()) == brute(codes, [c for c in codes if c[0] < 5], k)
+
+
 def test_few_or_no_codes(spark):
     table = spark.createDataFrame([(1, 5), (2, 5), (3, -9)], "id long, code long")
     assert sorted(tuple(r) for r in hamming.nearest(table, table, 10).collect()) == brute([(1, 5), (2, 5), (3, -9)], [(1, 5), (2, 5), (3, -9)], 10)
