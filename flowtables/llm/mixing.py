@@ -7,143 +7,166 @@ number of slots a source has had its share of blocks, less than one more or less
 
 Since shares are whole parts of N, the schedule repeats after N slots. One period
 is worked out and every block finds its slot by its number; nothing is scheduled
-block by block. When a source cannot fill another period, one shorter period takes
-its last blocks, and the others go on with the parts they have: every document is
-in the mixture exactly once.
+block by block. The schedule of the true parts goes on until the slot in which the
+first source runs out; then the sources that are left start a schedule of their own
+parts. Every document is in the mixture exactly once.
 """
 
 from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from flowtables.llm.common import bucketed_rank, stored
 
-MAX_SOURCES = 100_000
+BROADCAST_SLOTS = 200_000  # rows of the slot table that are sent to every task; a larger one is joined by block
 
 
-def period(parts: dict, singles: int = 0) -> list[tuple]:
-    """(source, block in the period, slot, release, deadline) by earliest deadline first.
+def stretch(parts: dict, left: dict, singles: int = 0) -> tuple[list[tuple], int, bool]:
+    """One period by earliest deadline first, or less if a source runs out: jobs, its length, whether one ran out.
 
-    ``singles`` more sources of one part each are not listed: they are released at once
-    and due at the end, so any slot that the others leave free will do for them.
+    A job is (source, block in the stretch, slot, release, deadline). ``left`` are the blocks that sources still have.
+    ``singles`` more sources of one part and one block are not listed: such a block is released at once
+    and due at the end of the period, so the slots that the others leave free are theirs. As a group they run out like a source.
     """
     total = sum(parts.values()) + singles
-    jobs = sorted((j * total // n, -(-(j + 1) * total // n), k, s, j) for k, (s, n) in enumerate(parts.items()) for j in range(n))
-    ready, out, at, slot = [], [], 0, -1
-    while len(out) < len(jobs):
-        slot = slot + 1 if ready else max(slot + 1, jobs[at][0])
-        while at < len(jobs) and jobs[at][0] <= slot:
-            release, deadline, k, s, j = jobs[at]
-            heapq.heappush(ready, (deadline, k, j, s, release))
-            at += 1
-        deadline, _, j, s, release = heapq.heappop(ready)
-        out.append((s, j, slot, release, deadline))
-    return out
-
-
-def phases(blocks: dict, parts: dict, singles: int = 0) -> list[dict]:
-    """Stretches of the mixture in which each source has a fixed number of blocks per period.
-
-    ``singles`` more sources have one block; they take part in the first stretch, which is one period then.
-    """
-    left, done, base, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, []
-    if singles and not left:
-        return [{"counts": {}, "times": 1, "first": {}, "base": 0, "singles": singles}]
-    while left:
-        whole = min(left[s] // parts[s] for s in left)
-        if singles:
-            whole = min(whole, 1)
-        for counts, times in (({s: parts[s] for s in left}, whole), ({s: min(parts[s], left[s] - whole * parts[s]) for s in left}, 1)):
-            counts = {s: n for s, n in counts.items() if n}
-            if not times or not counts:
-                continue
-            out.append({"counts": counts, "times": times, "first": {s: done[s] for s in counts}, "base": base, "singles": singles})
-            base += times * sum(counts.values()) + singles
-            singles = 0
-            for s, n in counts.items():
-                done[s] += n * times
-                left[s] -= n * times
+    order = {s: k for k, s in enumerate(parts)}
+    coming = [(0, order[s], 0, s) for s in parts]
+    ready, out, had, free = [], [], dict.fromkeys(parts, 0), 0
+    for slot in range(total):
+        while coming and coming[0][0] <= slot:
+            release, k, j, s = heapq.heappop(coming)
+            heapq.heappush(ready, (-(-(j + 1) * total // parts[s]), k, j, s, release))
+            if j + 1 < parts[s]:
+                heapq.heappush(coming, ((j + 1) * total // parts[s], k, j + 1, s))
+        if ready:
+            deadline, _, j, s, release = heapq.heappop(ready)
+            out.append((s, j, slot, release, deadline))
+            had[s] += 1
+            over = had[s] == left[s]
+        else:
+            free += 1
+            over = free == singles
+        if over:
+            return out, slot + 1, True
+    return out, total, False
+
+
+def stretches(blocks: dict, parts: dict, singles: int = 0) -> list[dict]:
+    """The whole mixture: periods that repeat, and the shorter ones in which a source runs out."""
+    left, done, base, served, out = {s: n for s, n in blocks.items() if n > 0}, dict.fromkeys(blocks, 0), 0, 0, []
+    while left or served < singles:
+        shares = {s: parts[s] for s in left}
+        jobs, length, ended = stretch(shares, left, singles - served)
+        times = 1 if ended else min((left[s] - 1) // n for s, n in shares.items())
+        counts = dict.fromkeys(shares, 0)
+        for s, *_ in jobs:
+            counts[s] += 1
+        out.append({"jobs": jobs, "counts": counts, "first": {s: done[s] for s in shares}, "times": times, "base": base, "length": length,
+                    "period": sum(shares.values()) + singles - served, "served": served})
+        served += length - len(jobs)
+        base += times * length
+        for s, n in counts.items():
+            done[s] += n * times
+            left[s] -= n * times
         left = {s: n for s, n in left.items() if n > 0}
     return out
 
 
-def tempered_parts(sizes: dict, exponent: float = 0.5, total: int = 1000, others: float = 0.0) -> dict:
-    """Whole parts (1 at least) in proportion to size ** exponent, about ``total`` in all; ``others`` is the sum of the powers of sources not listed."""
-    powers = {s: max(n, 1) ** exponent for s, n in sizes.items()}
-    whole = sum(powers.values()) + others
-    return {s: max(1, round(total * p / whole)) for s, p in powers.items()}
-
-
 def mixed(docs: DataFrame, parts: dict | None = None, block_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, source, size, block, slot, release, deadline, position: one row per row of ``docs``.
 
     ``parts`` maps sources to whole numbers; sources it lacks get one part. By
-    default parts follow the square root of the source's bytes. ``release`` and
+    default parts follow the square root of the source's bytes, about 1000 in all and one at least. ``release`` and
     ``deadline`` are slots of the whole mixture, ``position`` (from 0) orders it:
     by slot, then by place in the source. A text larger than a block takes the
     slots of all the blocks it fills; an empty or null text takes one byte.
 
+    Until a source ends, and again after that, every source has had its share of the slots to within one block.
+    Sources of one block and one part are one group with the parts of those that are left when a stretch begins.
     A null source is a source. Rows alike in id, text and source are all kept and
     follow one another in any order. Order inside a source is by hash.
     An empty table gives an empty table; other columns are ignored. The driver
-    holds one number per source and a period of slots per phase. Of more than
-    ``MAX_SOURCES`` sources it holds only those of two blocks or more, and the others
-    are a table that is spread like any other.
+    holds a number for each source of several blocks or parts, and one period of slots for each time that one ends.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.greatest(F.coalesce(F.octet_length("text"), F.lit(1)), F.lit(1)).cast("long").alias("size"), F.xxhash64("text").alias("_text"))
-    by_source = rows.groupBy("source").agg(F.sum("size").alias("size"))
-    found = by_source.limit(MAX_SOURCES + 1).collect()
-    few = None
-    if len(found) > MAX_SOURCES:
-        by_source = stored(by_source, "sources")
-        few = by_source.where(F.col("size") <= block_bytes)
-        found = by_source.where(F.col("size") > block_bytes).collect()
-    sizes = {r["source"]: r["size"] for r in found}
-    sizes = dict(sorted(sizes.items(), key=lambda kv: (kv[0] is not None, kv[0] or "")))
-    singles, powers = (0, 0.0) if few is None else few.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.sqrt("size")), F.lit(0.0))).first()
-    weights = tempered_parts(sizes, others=powers) if parts is None else {s: max(1, int(parts.get(s, 1))) for s in sizes}
-    blocks = {s: -(-n // block_bytes) for s, n in sizes.items()}
-    stretches = phases(blocks, weights, singles)
-    table = _slot_table(spark, stretches)
-    if singles:
-        table = table.unionByName(_single_slots(few, stretches[0]))
-
-    ranked = bucketed_rank(rows, ["source"], ["doc_id", "_text"], weight="size").withColumn("block", F.expr(f"_before div {block_bytes}"))
-    r, t = ranked.alias("r"), (table if singles else F.broadcast(table)).alias("t")
-    placed = r.join(t, F.col("r.source").eqNullSafe(F.col("t.source")) & F.expr("r.block >= t.first_block and r.block < t.last_block and (r.block - t.first_block) % t.in_period = t.at"))
-    turn = F.expr("t.base + (r.block - t.first_block) div t.in_period * t.length")
-    out = placed.select("r.doc_id", "r.source", "r.size", "r.block", "r._rank", (turn + F.col("t.slot")).alias("slot"), (turn + F.col("t.release")).alias("release"), (turn + F.col("t.deadline")).alias("deadline"))
+    out = _placed(docs.select("doc_id", _source(), _size(), F.xxhash64("text").alias("_text")), parts, block_bytes, ["doc_id"])
     # positions: the rows before a slot, then the place in the slot (one block of one source)
     per_slot = out.groupBy("slot").agg(F.count(F.lit(1)).alias("n"), F.min("_rank").alias("first_rank"))
     starts = _running(per_slot)
     return out.join(starts, "slot").select("doc_id", "source", "size", "block", "slot", "release", "deadline", (F.col("start") + F.col("_rank") - F.col("first_rank")).alias("position"))
 
 
-def _slot_table(spark: SparkSession, stretches: list[dict]) -> DataFrame:
+def _source() -> Column:
+    return F.col("source").cast("string").alias("source")
+
+
+def _size() -> Column:
+    return F.greatest(F.coalesce(F.octet_length("text"), F.lit(1)), F.lit(1)).cast("long").alias("size")
+
+
+def _with_parts(sizes: DataFrame, parts: dict | None, total: int = 1000) -> DataFrame:
+    """source, size, parts."""
+    if parts is None:
+        whole = sizes.agg(F.coalesce(F.sum(F.sqrt("size")), F.lit(1.0))).first()[0]
+        return sizes.withColumn("parts", F.greatest(F.lit(1), F.round(total * F.sqrt("size") / whole)).cast("long"))
+    given = sizes.sparkSession.createDataFrame([(s, max(1, int(n))) for s, n in parts.items()], "of string, parts long")
+    joined = sizes.join(given, F.col("source").eqNullSafe(F.col("of")), "left")
+    return joined.select("source", "size", F.coalesce("parts", F.lit(1).cast("long")).alias("parts"))
+
+
+def _placed(rows: DataFrame, parts: dict | None, block_bytes: int, kept: list[str]) -> DataFrame:
+    """source, size, block, slot, release, deadline, _rank and ``kept`` for rows of (doc_id, source, size, _text) and ``kept``."""
+    spark = rows.sparkSession
+    sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("size")), "sources")
+    sources = stored(_with_parts(sizes, parts).withColumn("blocks", F.ceil(F.col("size") / block_bytes).cast("long")), "parts")
+    several = (F.col("blocks") > 1) | (F.col("parts") > 1)
+    found = sorted(sources.where(several).collect(), key=lambda r: (r["source"] is not None, r["source"] or ""))
+    few = sources.where(~several)
+    singles = few.count()
+    plan = stretches({r["source"]: r["blocks"] for r in found}, {r["source"]: r["parts"] for r in found}, singles)
+
+    ranked = bucketed_rank(rows, ["source"], ["doc_id", "_text"], weight="size").withColumn("block", F.expr(f"_before div {block_bytes}"))
+    columns = [*kept, "source", "size", "block", "_rank"]
+    table = _slot_table(spark, plan)
+    slots = sum(len(p["jobs"]) for p in plan)
+    r, turn = ranked.alias("r"), F.expr("t.base + (r.block - t.first_block) div t.in_period * t.length")
+    if slots <= BROADCAST_SLOTS:
+        same = F.expr("r.block >= t.first_block and r.block < t.last_block and (r.block - t.first_block) % t.in_period = t.at")
+        joined = r.join(F.broadcast(table).alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")) & same)
+    else:
+        each = table.withColumn("_block", F.explode(F.expr("sequence(first_block + at, last_block - 1, in_period)")))
+        joined = r.join(each.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")) & F.expr("r.block = t._block"))
+    out = joined.select(*[F.col(f"r.{c}") for c in columns], *[(turn + F.col(f"t.{c}")).alias(c) for c in ("slot", "release", "deadline")])
+    if singles:
+        alone = ranked.join(_single_slots(few, plan), F.col("source").eqNullSafe(F.col("_alone")))
+        out = out.unionByName(alone.select(*columns, "slot", "release", "deadline"))
+    return out
+
+
+def _slot_table(spark: SparkSession, plan: list[dict]) -> DataFrame:
     rows = []
-    for p in stretches:
-        length = sum(p["counts"].values()) + p["singles"]
-        for s, j, slot, release, deadline in period(p["counts"], p["singles"]):
+    for p in plan:
+        for s, j, slot, release, deadline in p["jobs"]:
             n, first = p["counts"][s], p["first"][s]
-            rows.append((s, first, first + n * p["times"], n, j, p["base"], length, slot, release, deadline))
+            rows.append((s, first, first + n * p["times"], n, j, p["base"], p["length"], slot, release, deadline))
     return spark.createDataFrame(rows, "source string, first_block long, last_block long, in_period long, at long, base long, length long, slot long, release long, deadline long")
 
 
-def _single_slots(few: DataFrame, first: dict) -> DataFrame:
-    """Rows as in :func:`_slot_table` for sources of one block: source number r gets slot r of the
-    first stretch or, if that is taken, one of the free slots beyond the number of these sources."""
-    spark, n = few.sparkSession, first["singles"]
-    taken = {p[2] for p in period(first["counts"], n)}
-    length = n + len(taken)
-    free = iter([s for s in range(n, length) if s not in taken])
-    moved = spark.createDataFrame([(s, next(free)) for s in sorted(taken) if s < n], "_rank long, _other long")
-    numbered = bucketed_rank(few.select("source"), [], ["source"]).join(F.broadcast(moved), "_rank", "left")
-    number = lambda v: F.lit(v).cast("long")
-    return numbered.select("source", number(0).alias("first_block"), number(1).alias("last_block"), number(1).alias("in_period"), number(0).alias("at"), number(0).alias("base"),
-                           number(length).alias("length"), F.coalesce("_other", "_rank").alias("slot"), number(0).alias("release"), number(length).alias("deadline"))
+def _single_slots(few: DataFrame, plan: list[dict]) -> DataFrame:
+    """_alone, slot, release, deadline of the sources of one block: in order of a hash they take the slots that are left free."""
+    gaps = []
+    for p in plan:
+        number, last = p["served"], -1
+        for slot in [*[job[2] for job in p["jobs"]], p["length"]]:
+            if (size := slot - last - 1) > 0:
+                gaps.append((number, number + size - 1, p["base"] + last + 1, p["base"], p["base"] + p["period"]))
+            number, last = number + size, slot
+    listed = few.sparkSession.createDataFrame(gaps, "low long, high long, begin long, release long, deadline long")
+    free = listed.select(F.explode(F.sequence("low", "high")).alias("_number"), "low", "begin", "release", "deadline")
+    free = free.select("_number", (F.col("begin") + F.col("_number") - F.col("low")).alias("slot"), "release", "deadline")
+    numbered = bucketed_rank(few.select("source"), [], ["source"])
+    return numbered.join(free, F.col("_rank") == F.col("_number")).select(F.col("source").alias("_alone"), "slot", "release", "deadline")
 
 
 def _running(per_slot: DataFrame, chunk: int = 100_000) -> DataFrame:
@@ -159,13 +182,13 @@ def in_mixed_order(docs: DataFrame, parts: dict | None = None, block_bytes: int
     """``docs``, all rows and columns, laid out in the order of the mixture.
 
     Files written from it, read by name and from top to bottom, give that order.
-    Rows that repeat a doc_id come together, at the id's first position.
+    Every row has a place of its own, also rows that repeat an id or have none. Columns may have any names;
+    nulls, empty texts and tables as in :func:`mixed`.
     """
-    where = mixed(docs, parts, block_bytes).groupBy(F.col("doc_id").alias("_id")).agg(F.min("position").alias("_position"))
-    joined = docs.join(where, F.col("doc_id").eqNullSafe(F.col("_id")))
-    parts_out = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = joined.repartitionByRange(parts_out, "_position").sortWithinPartitions("_position")
-    return ordered.select(*[F.col(c) for c in docs.columns])
+    rows = docs.select("doc_id", _source(), _size(), F.xxhash64("text").alias("_text"), F.struct("*").alias("_all"))
+    placed = _placed(rows, parts, block_bytes, ["_all"])
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartitionByRange(tasks, "slot", "_rank").sortWithinPartitions("slot", "_rank").select("_all.*")
 
 
 def _items(found) -> list:
@@ -176,7 +199,7 @@ def with_position(docs: DataFrame) -> DataFrame:
     """``docs`` with ``position`` (from 0), the place of each row in the files they were read from, by name and from top to bottom.
 
     However a reader packs or splits the files, this is the order in which they were
-    written. Rows that do not come from Parquet files have no order, and are given back as they are.
+    written. A column ``position`` that is there is replaced. Rows that do not come from Parquet files have no order, and are given back as they are.
     """
     plan = docs._jdf.queryExecution().analyzed()
     while plan.getClass().getSimpleName() in ("Project", "SubqueryAlias"):
@@ -188,5 +211,7 @@ def with_position(docs: DataFrame) -> DataFrame:
     # names part-<number>-...: beyond 99999 the number is longer
     earlier = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
     begins = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
-    rows = docs.select(*docs.columns, name.alias("_name"), index.alias("_index"))
-    return rows.join(F.broadcast(begins), F.col("_name") == F.col("_file")).select(*docs.columns, (F.col("_begin") + F.col("_index")).alias("position"))
+    kept = [c for c in docs.columns if c != "position"]
+    rows = docs.select(F.struct(*kept).alias("_all"), name.alias("_name"), index.alias("_index"))
+    placed = rows.join(F.broadcast(begins), F.col("_name") == F.col("_file"))  # one row per file
+    return placed.select("_all.*", (F.col("_begin") + F.col("_index")).alias("position"))
