@@ -91,6 +91,9 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80, spare_bit
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
-    """``docs`` less the documents that hold an item; all columns and other rows stay."""
-    hit = stored(contaminated(docs, items, percent).select(F.col("doc_id").alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    """``docs`` less the documents that hold an item; all columns, of any names, and other rows stay.
+
+    All rows of an id go if one of them holds an item; null is an id. Documents without words hold none. Empty tables give empty tables.
+    """
+    hit = stored(contaminated(docs, items, percent).select("doc_id").distinct(), "contaminated")
+    return docs.alias("d").join(hit.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")), "left_anti")

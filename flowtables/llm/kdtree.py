@@ -158,11 +158,13 @@ def shards(docs: DataFrame, leaves: int, dimensions: tuple[str, ...] = DIMENSION
 def with_shard(docs: DataFrame, target_bytes: int, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
     """``docs`` with a column ``shard`` (replaced if there is one), leaves of about ``target_bytes``.
 
-    The text is read for its length and hash only and is not shuffled.
+    The text is read for its length and hash only and is not shuffled. Columns may have any names. A null in a
+    dimension is its lowest value, and dimensions that ``docs`` lacks are passed over; rows alike are
+    never parted, and an empty table gives an empty table.
     """
     keys = dimension_keys(docs, dimensions)
     rows = stored(docs.select(row_bytes().alias("_size"), *keys), "metadata")
     total = rows.agg(F.sum("_size")).first()[0] or 0
     tree = build_tree(rows, len(keys), leaves_for(total, target_bytes))
     kept = [c for c in docs.columns if c != "shard"]
-    return docs.select(*kept, *keys).select(*kept, tree.place().cast("int").alias("shard"))
+    return docs.select(F.struct(*kept).alias("_all"), *keys).select("_all.*", tree.place().cast("int").alias("shard"))

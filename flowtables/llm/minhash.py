@@ -212,9 +212,9 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80, coordinates: int
     stay = stored(first.join(chosen, "cls", "left_semi").select(F.col("row.name").alias("_stay")), "kept")
     filled = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # one shuffle of the texts serves the join and the repeated rows
-    named = docs.where(filled).withColumn("_name", _row_name(F.col("doc_id"), F.col("text")))
+    named = docs.where(filled).select(_row_name(F.col("doc_id"), F.col("text")).alias("_name"), F.struct("*").alias("_all"))
     rows = named.join(stay, F.col("_name") == F.col("_stay"), "left_semi").dropDuplicates(["_name"])
-    return rows.drop("_name").unionByName(docs.where(~filled))
+    return rows.select("_all.*").unionByName(docs.where(~filled))
 
 
 ship_functions(__name__)
