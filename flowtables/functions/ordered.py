@@ -6,42 +6,63 @@ over (key, range), and one summary row per (key, range) carries what must cross
 a range border. The summary has ``rows / range`` rows, so its own window by key
 stays small even when one key holds a third of the table.
 
-``width`` is the length of a range in units of the position column. By default it
-is worked out from the rows: their span divided so that a range of even positions
-has about ``RANGE_ROWS`` rows, however dense or sparse positions are. Rows that
-share one position stay in one range.
+By default the borders of the ranges are quantiles of the positions, so a range has
+about ``RANGE_ROWS`` rows and never twice as many, however uneven the positions
+are; rows that share one position stay in one range. Where positions are known to be even, ``width``
+gives the length of a range in units of the position column and spares that pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 RANGE_ROWS = 1_000_000
+MAX_RANGES = 10_000  # borders that are held; beyond it ranges have more rows
 
 _SLOT = "_slot"
 _CARRY = "_carry"
 
 
 def fitting_width(df: DataFrame, pos: str, rows: int = RANGE_ROWS) -> int:
-    """Length of a range that holds about ``rows`` rows; reads the position column once."""
+    """Length of a range that holds about ``rows`` rows if positions are even; reads the position column once."""
     found = df.agg(F.count(pos).alias("n"), F.min(pos).alias("low"), F.max(pos).alias("high")).first()
     if not found["n"]:
         return 1
     return max(1, -(-(int(found["high"]) - int(found["low"]) + 1) * rows // found["n"]))
 
 
+def splitters(df: DataFrame, pos: str, rows: int = RANGE_ROWS) -> list[float]:
+    """Inner borders of ranges of about ``rows`` rows: quantiles to within a quarter of a range, none if all rows fit one."""
+    known = df.where(F.col(pos).isNotNull()).select(F.col(pos).cast("double").alias("p"))
+    ranges = min(MAX_RANGES, -(-known.count() // rows))
+    if ranges <= 1:
+        return []
+    return sorted(set(known.approxQuantile("p", [i / ranges for i in range(1, ranges)], 0.25 / ranges)))
+
+
+def _with_range(df: DataFrame, pos: str, borders: list[float]) -> DataFrame:
+    """Add ``_range``, which a position's place among the borders gives by binary search; a null goes with the lowest."""
+    if not borders:
+        return df.withColumn("_range", F.lit(0.0))
+    placed = df.withColumn("_place", F.coalesce(F.col(pos).cast("double"), F.lit(float("-inf"))))
+    cut = Bucketizer(splits=[float("-inf"), *borders, float("inf")], inputCol="_place", outputCol="_range", handleInvalid="keep")
+    return cut.transform(placed).drop("_place")
+
+
 def _with_slot(df: DataFrame, keys: Sequence[str], pos: str, width: int | None) -> DataFrame:
     """Add the (keys, range) a row belongs to.
 
     One struct serves grouping, join and window, so the join leaves the rows
     where the window needs them; null keys are equal inside a struct.
     """
-    width = fitting_width(df, pos) if width is None else width
-    p = F.col(pos)
-    start = (p - F.pmod(p, F.lit(width).cast("long"))).alias("range")
-    return df.withColumn(_SLOT, F.struct(F.struct(*[F.col(k) for k in keys], F.lit(0).alias("all")).alias("key"), start))
+    if width is None:
+        df, start = _with_range(df, pos, splitters(df, pos)), F.col("_range").alias("range")
+    else:
+        start = (F.col(pos) - F.pmod(F.col(pos), F.lit(width).cast("long"))).alias("range")
+    return df.withColumn(_SLOT, F.struct(F.struct(*[F.col(k) for k in keys], F.lit(0).alias("all")).alias("key"), start)).drop("_range")
 
 
 def _ranges(desc: bool = False) -> WindowSpec:

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from flowtables.functions import crypto
 from flowtables.operators import bundles, field_crypto, fix, gate, quarantine, redo_events, row_changes, snapshot
+from flowtables.operators import pane_aggregates as panes
 from flowtables.operators.windows import hop_aggregate
 from flowtables.plans import derived
 from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
 from flowtables.sources import changelog, changetable, frames, incremental, json_messages, topics
-from flowtables.streaming import gate as gate_stream, snapshot as snapshot_stream, windows as window_stream
+from flowtables.streaming import gate as gate_stream, panes as pane_stream, snapshot as snapshot_stream, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
 HASH_SECRET = "another secret"
@@ -75,6 +76,40 @@ def hop_sum_stream(spark, sf_dir):
     return _doubles(window_stream.read_running_windows(spark, f"{root}/out", schema, ["event_type"]), "value_sum")
 
 
+def _range_of_values() -> list[panes.Aggregate]:
+    value = F.col("value").cast("double")
+    return [panes.least("lowest", value), panes.greatest("highest", value), panes.first("opened", value, F.col("ts")), panes.last("closed", value, F.col("ts"))]
+
+
+def _visitors() -> list[panes.Aggregate]:
+    return [panes.distinct("users", F.col("user_id").cast("long")), panes.count("events"), panes.total("bits", F.col("user_id") % 7)]
+
+
+def hop_minmax(spark, sf_dir):
+    """Lowest, highest, first and last value of each window."""
+    return panes.hop_aggregate_by(_events(spark, sf_dir), ["event_type"], _range_of_values(), 300, 60)
+
+
+def hop_distinct(spark, sf_dir):
+    """Different users per window, from sketches, beside two plain sums; windows of 250 seconds every 100."""
+    return panes.hop_aggregate_by(_events(spark, sf_dir), ["event_type"], _visitors(), 250, 100)
+
+
+def hop_minmax_stream(spark, sf_dir):
+    """As ``hop_minmax``, from states of six micro-batches in three runs; folded after the second."""
+    root = scratch_dir(spark, "hop_minmax_stream")
+    source = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    groups, aggregates, windows = ["event_type"], _range_of_values(), {"window": 300, "hop": 60}
+    for run in range(3):
+        part = source.where(F.pmod(F.xxhash64("ts", "user_id"), F.lit(3)) == run)
+        part.repartition(2, "user_id", "ts").write.option("maxRecordsPerFile", 0).mode("append").parquet(f"{root}/in")
+        events = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        pane_stream.start_pane_states(events, f"{root}/states", f"{root}/checkpoint", groups, aggregates, **windows).awaitTermination()
+        if run == 1:
+            pane_stream.fold(spark, f"{root}/states", groups, aggregates)
+    return pane_stream.read_windows(spark, f"{root}/states", groups, aggregates, **windows)
+
+
 # ---- redo log -------------------------------------------------------------------
 
 def _log(spark, sf_dir) -> DataFrame:
@@ -450,6 +485,7 @@ def fix_seq_gaps(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
+        hop_minmax, hop_distinct, hop_minmax_stream,
         cdc_all, cdc_committed, cdc_committed_stream, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
         change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply,

@@ -23,13 +23,13 @@ def _window(groups: list[str], result: str, window: int, hop: int, sampled: bool
         keep = f"WHERE s >= (s // {hop}) * {hop} + {hop - window}"
     else:
         begin = f"(s // {hop}) * {hop} - k * {hop}"
-        shifts = f"(SELECT unnest(range(0, {window // hop})) AS k) shifts"
-        keep = ""
+        shifts = f"(SELECT unnest(range(0, {-(-window // hop)})) AS k) shifts"
+        keep = f"WHERE s < (s // {hop}) * {hop} - k * {hop} + {window}"
     return f"""
 WITH e AS (
-  SELECT {keys}, CAST(value AS DECIMAL(18,2)) AS v, user_id AS u, epoch_us(ts) // 1000000 AS s FROM events
+  SELECT {keys}, CAST(value AS DECIMAL(18,2)) AS v, user_id AS u, epoch_us(ts) AS us, epoch_us(ts) // 1000000 AS s FROM events
 ), x AS (
-  SELECT {names}, v, u, {begin} AS b FROM e, {shifts} {keep}
+  SELECT {names}, v, u, us, {begin} AS b FROM e, {shifts} {keep}
 )
 SELECT {names}, {result},
        strftime(make_timestamp(b * 1000000), '{ISO}') AS begin_date,
@@ -451,3 +451,7 @@ SELECT * FROM (
 ) WHERE missing <> 0""",
 }
 ORACLES["hop_sum_stream"] = ORACLES["hop_sum"]
+ORACLES["hop_minmax"] = _window(
+    ["event_type"], "min(v)::DOUBLE AS lowest, max(v)::DOUBLE AS highest, first(v ORDER BY us, v)::DOUBLE AS opened, last(v ORDER BY us, v)::DOUBLE AS closed", 300, 60)
+ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)
+ORACLES["hop_minmax_stream"] = ORACLES["hop_minmax"]

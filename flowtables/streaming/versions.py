@@ -33,3 +33,12 @@ def read_batches(spark: SparkSession, root: str, ids: list[int], schema) -> Data
     if not ids:
         return spark.createDataFrame([], schema)
     return reader.parquet(*[batch_path(root, i) for i in ids])
+
+
+def remove_batches(spark: SparkSession, root: str, ids: list[int]) -> None:
+    """Remove folders that a newer one replaces; the success marker goes first, so no half of one is ever read."""
+    for i in ids:
+        path = spark._jvm.org.apache.hadoop.fs.Path(batch_path(root, i))
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"), False)
+        fs.delete(path, True)
