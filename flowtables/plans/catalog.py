@@ -12,7 +12,7 @@ from flowtables.plans import derived
 from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
-from flowtables.sources import changelog, changetable, frames, incremental, json_messages, topics
+from flowtables.sources import changelog, changetable, frames, incremental, json_messages, positioned, topics
 from flowtables.streaming import gate as gate_stream, panes as pane_stream, snapshot as snapshot_stream, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
@@ -116,13 +116,17 @@ def _log(spark, sf_dir) -> DataFrame:
     return derived.redo_log(spark, sf_dir)
 
 
-def cdc_all(spark, sf_dir):
-    return changelog.scan_all(_log(spark, sf_dir), REDO_TABLES).select(
+def _change_columns(df: DataFrame) -> DataFrame:
+    return df.select(
         "scn", F.lower("operation").alias("type"), F.col("seg_owner").alias("database"),
         F.col("seg_name").alias("table_name"), "row_id",
     )
 
 
+def cdc_all(spark, sf_dir):
+    return _change_columns(changelog.scan_all(_log(spark, sf_dir), REDO_TABLES))
+
+
 def _committed_columns(df: DataFrame) -> DataFrame:
     return df.select("scn", "commit_scn", "xid", F.lower("operation").alias("type"), "row_id")
 
@@ -148,6 +152,23 @@ def cdc_committed_stream(spark, sf_dir):
     return _committed_columns(spark.read.parquet(f"{root}/out"))
 
 
+def cdc_stream_resume(spark, sf_dir):
+    """All changes of the log, which grows once, read by position in six batches or more and two runs."""
+    spark.dataSource.register(positioned.PositionedLog)
+    root = scratch_dir(spark, "cdc_stream_resume")
+    rows = _log(spark, sf_dir).select("scn", "operation", "operation_code", "seg_owner", "seg_name", "row_id")
+    counts = rows.agg(F.count("*").alias("n"), F.max("scn").alias("top")).first()
+    half, limit = (counts["top"] or 0) // 2, max(1, counts["n"] // 7)
+    for part in (F.col("scn") <= half, F.col("scn") > half):
+        rows.where(part).repartitionByRange(4, "scn").write.mode("append").parquet(f"{root}/log")
+        log = spark.readStream.format("positioned_log").schema(rows.schema).options(
+            path=f"{root}/log", position="scn", max_rows=str(limit), progress=f"{root}/progress").load()
+        query = log.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").start()
+        query.processAllAvailable()
+        query.stop()
+    return _change_columns(changelog.scan_all(spark.read.schema(rows.schema).parquet(f"{root}/out"), REDO_TABLES))
+
+
 def cdc_resume_offset(spark, sf_dir):
     return changelog.next_offset(changelog.scan_all(_log(spark, sf_dir), ORDERS_ONLY, start=1000), 1000)
 
@@ -486,7 +507,7 @@ QUERIES = {
     f.__name__: f for f in (
         hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
         hop_minmax, hop_distinct, hop_minmax_stream,
-        cdc_all, cdc_committed, cdc_committed_stream, cdc_resume_offset, log_segments,
+        cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
         change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply,
         mssql_poll, mssql_changes, mssql_key_values, topic_payload, capture_choice,

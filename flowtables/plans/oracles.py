@@ -455,3 +455,4 @@ ORACLES["hop_minmax"] = _window(
     ["event_type"], "min(v)::DOUBLE AS lowest, max(v)::DOUBLE AS highest, first(v ORDER BY us, v)::DOUBLE AS opened, last(v ORDER BY us, v)::DOUBLE AS closed", 300, 60)
 ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)
 ORACLES["hop_minmax_stream"] = ORACLES["hop_minmax"]
+ORACLES["cdc_stream_resume"] = ORACLES["cdc_all"]
