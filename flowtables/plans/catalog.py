@@ -427,6 +427,17 @@ def frame_records(spark, sf_dir):
     return _framed(spark, sf_dir)
 
 
+def frame_stream_files(spark, sf_dir):
+    """The texts of each language as one captured stream in one file, framed by ranges of 32 KiB."""
+    root = scratch_dir(spark, "frame_stream_files")
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("none")).alias("lang"), "doc_id", "text")
+    docs.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
+    ranged = spark.newSession()
+    ranged.conf.set("spark.sql.files.maxPartitionBytes", 32 * 1024)
+    records = frames.read_framed(ranged, root)
+    return records.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "pos", "record")
+
+
 def bundle_by_count(spark, sf_dir):
     return bundles.bundle_by_count(_framed(spark, sf_dir), ["doc_id"], "pos", "record", size=10, dense=True)
 
@@ -513,7 +524,7 @@ QUERIES = {
         mssql_poll, mssql_changes, mssql_key_values, topic_payload, capture_choice,
         crypto_encrypt, crypto_roundtrip, crypto_json, crypto_hmac, crypto_plan, quarantine_split,
         incremental_plan, incremental_batch, replicate,
-        topic_read_from, topic_subscribe, topic_pattern, frame_records,
+        topic_read_from, topic_subscribe, topic_pattern, frame_records, frame_stream_files,
         bundle_by_count, bundle_topic_by_count, bundle_by_bytes, split_messages,
         route_round_robin, route_single, route_custom,
         fix_tags, fix_route, fix_execution, fix_legs, fix_trade, fix_quote, fix_seq_gaps,

@@ -425,6 +425,13 @@ FROM (SELECT max(o_orderkey) AS m FROM orders)""",
     "topic_subscribe": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE topic IN ('user','assistant') AND length(text) > 0",
     "topic_pattern": f"WITH {_TOPIC} SELECT topic, msg_id, message_id, text FROM topic WHERE topic IN ('user','system') AND length(text) > 0",
     "frame_records": f"WITH {_FRAMES} SELECT doc_id, pos, record FROM frames",
+    "frame_stream_files": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'none') AS lang, doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents
+), lines AS (
+  SELECT lang, doc_id, unnest(range(0, len(p))) AS i, unnest(p) AS line FROM pieces
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id, i) - 1 AS pos, regexp_replace(replace(line, chr(13), ''), {_TRIM}, '', 'g') AS record FROM lines""",
     "bundle_by_count": f"""
 WITH {_FRAMES}
 SELECT doc_id, pos // 10 AS bundle, count(*) AS records, string_agg(record, chr(10) ORDER BY pos) || chr(10) AS content FROM frames GROUP BY 1, 2""",

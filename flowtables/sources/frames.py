@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # --- fixed values -------------------------------------------------------------
 DEMARCATOR = 10
@@ -50,3 +50,36 @@ def frame(
 def read_binary_files(spark, path: str) -> DataFrame:
     """Captured byte streams, one file each: (path, content)."""
     return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def read_framed(
+    spark: SparkSession, path: str, demarcator: int = DEMARCATOR,
+    strip_bytes: Sequence[int] = STRIP_BYTES, charset: str = "UTF-8",
+) -> DataFrame:
+    """(path, pos, record) of captured byte streams of any length, one file each, as :func:`frame` gives them.
+
+    Spark's text reader cuts a file into byte ranges (``spark.sql.files.maxPartitionBytes``) and hands a record that
+    crosses a border to the range it begins in. ``pos`` is the number of records in the ranges before plus the place in the
+    range; only these counts, a row per range, are added up, and records are not shuffled. What follows the last
+    demarcator shows in the length of the file and is left out; empty files have no records.
+
+    The demarcator is below 128. Files are not compressed. A byte order mark at the begin of a file is no part of its first record.
+    """
+    if not 0 < demarcator < 128:
+        raise ValueError("a demarcator of a file is a byte from 1 to 127")
+    lines = spark.read.option("lineSep", chr(demarcator)).text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_begin"),
+        F.col("_metadata.file_size").alias("_size"), F.monotonically_increasing_id().alias("_id"), "value")
+    ranges = lines.groupBy("path", "_begin").agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("value") + 1).alias("_bytes"), F.max("_size").alias("_size"))
+    of_file = Window.partitionBy("path")
+    earlier = of_file.orderBy("_begin").rowsBetween(Window.unboundedPreceding, -1)
+    mark = 3  # bytes of a byte order mark
+    ended = F.sum("_bytes").over(of_file).isin(F.col("_size"), F.col("_size") - mark)
+    carried = ranges.select(
+        "path", "_begin", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        (F.sum("_n").over(of_file) - F.when(ended, 0).otherwise(1)).alias("_complete"))
+    numbered = lines.drop("_size").join(F.broadcast(carried), ["path", "_begin"])  # one row per range
+    pos = F.col("_before") + F.col("_id") - F.col("_first")
+    piece = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    return numbered.where(pos < F.col("_complete")).select("path", pos.alias("pos"), _clean(piece, strip_bytes, charset).alias("record"))

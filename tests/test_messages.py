@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -127,3 +129,30 @@ def test_topic_files(spark, folder, codec):
     sink.write_topic_files(frame, f"{folder}/t", codec)
     got = spark.read.schema("topic string, value string").json(f"{folder}/t")
     assert sorted((r.topic, r.value) for r in got.collect()) == sorted((t, p.decode()) for t, _, p in MESSAGES)
+
+
+@pytest.mark.parametrize(("demarcator", "ranged"), [(10, 700), (ord("|"), 64), (10, 1 << 20)])
+def test_files_are_framed_by_ranges_as_if_read_whole(spark, folder, demarcator, ranged):
+    """Ranges with borders in records, in demarcators and in empty records; a file per way to end."""
+    rng = random.Random(demarcator + ranged)
+    d = bytes([demarcator])
+    bodies = [b"", b"no end", d, d * 200, d.join(bytes(rng.choices(range(256), k=rng.randint(0, 90))).replace(d, b".") for _ in range(200)),
+              b"\xef\xbb\xbfmark" + d + b"next" + d, b"x" * 5000 + d + b"y" * 3000 + d + b"z", b"caf\xe9" + d + "é ü\r".encode() + d, d * 199 + b"end"]
+    bodies += [bodies[4] + d, bodies[4] + d + d]
+    for i, body in enumerate(bodies):
+        with open(f"{folder}/f{i:02d}", "wb") as out:
+            out.write(body)
+    session = spark.newSession()
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        session.conf.set(key, ranged)
+    got = {}
+    for r in frames.read_framed(session, folder, demarcator).collect():
+        got.setdefault(r["path"][-3:], []).append((r["pos"], r["record"]))
+    for i, body in enumerate(bodies):
+        want = framed(spark, body.removeprefix(b"\xef\xbb\xbf"), demarcator=demarcator)
+        assert sorted(got.get(f"f{i:02d}", [])) == sorted(want), (i, ranged)
+    begins = session.read.option("lineSep", chr(demarcator)).text(folder + "/f04").select("_metadata.file_block_start").distinct().count()
+    assert begins >= 8 or ranged > 700
+    for bad in (0, 128):
+        with pytest.raises(ValueError):
+            frames.read_framed(spark, folder, bad)
