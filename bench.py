@@ -55,7 +55,7 @@ def copied(spark: SparkSession, source: str) -> str:
     target = tempfile.mkdtemp(prefix="flowtables-bench-")
     for name in sorted(os.listdir(source)):
         df = spark.read.parquet(f"{source}/{name}")
-        (df.repartition(int(CPUS)) if df.count() > 10_000 else df.coalesce(1)).write.parquet(f"{target}/{name}")
+        (df.repartition(int(CPUS)) if os.path.getsize(f"{source}/{name}") > 1 << 20 else df.coalesce(1)).write.parquet(f"{target}/{name}")
     return target
 
 

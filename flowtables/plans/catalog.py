@@ -13,7 +13,7 @@ from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
 from flowtables.sources import changelog, changetable, frames, incremental, json_messages, positioned, topics
-from flowtables.streaming import gate as gate_stream, panes as pane_stream, snapshot as snapshot_stream, windows as window_stream
+from flowtables.streaming import gate as gate_stream, panes as pane_stream, snapshot as snapshot_stream, waiting, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
 HASH_SECRET = "another secret"
@@ -169,6 +169,24 @@ def cdc_stream_resume(spark, sf_dir):
     return _change_columns(changelog.scan_all(spark.read.schema(rows.schema).parquet(f"{root}/out"), REDO_TABLES))
 
 
+def cdc_committed_positioned(spark, sf_dir):
+    """The log read by position, some thousand rows a batch, and gated by what each batch decides; folded and restarted half way."""
+    spark.dataSource.register(positioned.PositionedLog)
+    rows = changelog.scan_transactional(_log(spark, sf_dir), ORDERS_ONLY).select("scn", "xid", "operation", "operation_code", "row_id")
+    root = scratch_dir(spark, "cdc_committed_positioned")
+    counts = rows.agg(F.count("*").alias("n"), F.max("scn").alias("top")).first()
+    half, limit = (counts["top"] or 0) // 2, max(1, counts["n"] // 3)
+    for part in (F.col("scn") <= half, F.col("scn") > half):
+        rows.where(part).repartitionByRange(4, "scn").write.mode("append").parquet(f"{root}/log")
+        log = spark.readStream.format("positioned_log").schema(rows.schema).options(
+            path=f"{root}/log", position="scn", max_rows=str(limit), progress=f"{root}/progress").load()
+        query = waiting.start_committed_deltas(log, f"{root}/out", f"{root}/waiting", f"{root}/checkpoint", trigger={"processingTime": "0 seconds"}, buckets=4)
+        query.processAllAvailable()
+        query.stop()
+        waiting.fold(spark, f"{root}/waiting", rows.schema)
+    return _committed_columns(spark.read.parquet(f"{root}/out"))
+
+
 def cdc_resume_offset(spark, sf_dir):
     return changelog.next_offset(changelog.scan_all(_log(spark, sf_dir), ORDERS_ONLY, start=1000), 1000)
 
@@ -518,7 +536,7 @@ QUERIES = {
     f.__name__: f for f in (
         hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
         hop_minmax, hop_distinct, hop_minmax_stream,
-        cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_resume_offset, log_segments,
+        cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_committed_positioned, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
         change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply,
         mssql_poll, mssql_changes, mssql_key_values, topic_payload, capture_choice,

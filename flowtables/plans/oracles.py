@@ -463,3 +463,4 @@ ORACLES["hop_minmax"] = _window(
 ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)
 ORACLES["hop_minmax_stream"] = ORACLES["hop_minmax"]
 ORACLES["cdc_stream_resume"] = ORACLES["cdc_all"]
+ORACLES["cdc_committed_positioned"] = ORACLES["cdc_committed"]
