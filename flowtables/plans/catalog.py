@@ -13,7 +13,7 @@ from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
 from flowtables.sources import changelog, changetable, frames, incremental, json_messages, positioned, topics
-from flowtables.streaming import gate as gate_stream, panes as pane_stream, snapshot as snapshot_stream, waiting, windows as window_stream
+from flowtables.streaming import gate as gate_stream, keyed_store, pairing, panes as pane_stream, sequences, snapshot as snapshot_stream, waiting, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
 HASH_SECRET = "another secret"
@@ -296,6 +296,20 @@ def snapshot_stream_apply(spark, sf_dir):
     return snapshot_stream.read_snapshot(spark, f"{root}/table", schema).select("database", "table_name", "row_id", "seq", "doc")
 
 
+def snapshot_store_stream(spark, sf_dir):
+    """As ``snapshot_stream_apply``, in a bucketed store: ten batches in two runs, folded and cleaned after each."""
+    root = scratch_dir(spark, "snapshot_store")
+    store = None
+    for piece in (_insert_documents(spark, sf_dir), _committed_documents(spark, sf_dir)):
+        piece.repartition(5, "row_id").write.option("maxRecordsPerFile", 0).mode("append").parquet(f"{root}/changes")
+        store = keyed_store.Store(f"{root}/table", piece.schema, buckets=8)
+        stream = spark.readStream.schema(piece.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/changes")
+        keyed_store.start_store(store, stream, f"{root}/checkpoint").awaitTermination()
+        keyed_store.fold(spark, store)
+        keyed_store.clean(spark, store)
+    return keyed_store.read_store(spark, store).select("database", "table_name", "row_id", "seq", "doc")
+
+
 # ---- change table -----------------------------------------------------------------
 
 def mssql_poll(spark, sf_dir):
@@ -304,6 +318,16 @@ def mssql_poll(spark, sf_dir):
     )
 
 
+def mssql_poll_handover(spark, sf_dir):
+    """One poll that begins in the older capture instance and ends, 1000 rows after the handover, in the newer one."""
+    captures, tables, after, before = derived.handover(spark, sf_dir)
+    rows = changetable.poll_captures(captures, tables, "dbo", "ORDERS", derived.lsn(after), max_rows=before + 1000)
+    return rows.select(
+        "capture_instance", F.hex("start_lsn").alias("start_lsn"), F.hex("seqval").alias("seqval"), "operation", "Id", "Sum",
+        F.hex("Mark").alias("Mark"), F.date_format("Create_Date", "yyyy-MM-dd").alias("Create_Date"),
+    )
+
+
 def _row_changes(spark, sf_dir) -> DataFrame:
     return row_changes.row_changes(
         derived.change_table(spark, sf_dir), derived.CHANGE_COLUMNS, ["Id"], "dbo", "ORDERS"
@@ -311,9 +335,29 @@ def _row_changes(spark, sf_dir) -> DataFrame:
 
 
 def mssql_changes(spark, sf_dir):
+    return _cells(_row_changes(spark, sf_dir))
+
+
+def mssql_changes_stream(spark, sf_dir):
+    """The change table in six batches of a stream that stops after each; many after images come a batch later than their before images."""
+    root = scratch_dir(spark, "mssql_changes_stream")
+    part = F.pmod(F.xxhash64("seqval"), F.lit(10))
+    late = (F.col("operation") == 4) & (part % 2 == 1)
+    images = derived.change_table(spark, sf_dir).withColumn("_in", F.floor(part / 2) + late.cast("int"))
+    schema = images.drop("_in").schema
+    for batch in range(6):
+        images.where(F.col("_in") == batch).drop("_in").write.mode("append").parquet(f"{root}/images")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/images")
+        pairing.start_row_changes(
+            stream, f"{root}/out", f"{root}/state", f"{root}/checkpoint", derived.CHANGE_COLUMNS, ["Id"], "dbo", "ORDERS", buckets=4, fold_every=3,
+        ).awaitTermination()
+    return _cells(spark.read.parquet(f"{root}/out"))
+
+
+def _cells(changes: DataFrame) -> DataFrame:
     before = F.coalesce("before", F.array().cast("array<string>"))
     cells = F.arrays_zip("columns", "types", "data", before.alias("before"))
-    return _row_changes(spark, sf_dir).select("seq", "operation", "trxDate", F.posexplode(cells).alias("idx", "c")).select(
+    return changes.select("seq", "operation", "trxDate", F.posexplode(cells).alias("idx", "c")).select(
         "seq", "operation", "trxDate", "idx", F.col("c.columns").alias("name"), F.col("c.types").alias("type"),
         F.col("c.data").alias("value"), F.col("c.before").alias("before_value"),
     )
@@ -532,19 +576,37 @@ def fix_seq_gaps(spark, sf_dir):
     )
 
 
+def fix_seq_gaps_stream(spark, sf_dir):
+    """As ``fix_seq_gaps``, on a stream read by position in seven batches or more and two runs."""
+    spark.dataSource.register(positioned.PositionedLog)
+    root = scratch_dir(spark, "fix_seq_gaps_stream")
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("session"), F.col("o_orderkey").cast("long").alias("seq"))
+    counts = rows.agg(F.count("*").alias("n"), F.max("seq").alias("top")).first()
+    half, limit = (counts["top"] or 0) // 2, max(1, counts["n"] // 7)
+    for part in (F.col("seq") <= half, F.col("seq") > half):
+        rows.where(part).repartitionByRange(4, "seq").write.mode("append").parquet(f"{root}/log")
+        log = spark.readStream.format("positioned_log").schema(rows.schema).options(
+            path=f"{root}/log", position="seq", max_rows=str(limit), progress=f"{root}/progress").load()
+        query = sequences.start_sequence_audit(
+            log, ["session"], "seq", f"{root}/out", f"{root}/state", f"{root}/checkpoint", buckets=4, fold_every=3, trigger={"processingTime": "0 seconds"})
+        query.processAllAvailable()
+        query.stop()
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 QUERIES = {
     f.__name__: f for f in (
         hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
         hop_minmax, hop_distinct, hop_minmax_stream,
         cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_committed_positioned, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
-        change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply,
-        mssql_poll, mssql_changes, mssql_key_values, topic_payload, capture_choice,
+        change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply, snapshot_store_stream,
+        mssql_poll, mssql_poll_handover, mssql_changes, mssql_changes_stream, mssql_key_values, topic_payload, capture_choice,
         crypto_encrypt, crypto_roundtrip, crypto_json, crypto_hmac, crypto_plan, quarantine_split,
         incremental_plan, incremental_batch, replicate,
         topic_read_from, topic_subscribe, topic_pattern, frame_records, frame_stream_files,
         bundle_by_count, bundle_topic_by_count, bundle_by_bytes, split_messages,
         route_round_robin, route_single, route_custom,
-        fix_tags, fix_route, fix_execution, fix_legs, fix_trade, fix_quote, fix_seq_gaps,
+        fix_tags, fix_route, fix_execution, fix_legs, fix_trade, fix_quote, fix_seq_gaps, fix_seq_gaps_stream,
     )
 }

@@ -228,5 +228,24 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def handover(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame], int, int]:
+    """(captures, change tables, day after which to read, rows up to the handover) for two instances of ORDERS.
+
+    The newer instance starts at the middle day of the orders, lacks ``Mark`` and has ``Create_Date``; the older one goes on beyond that day.
+    """
+    changes = change_table(spark, sf_dir)
+    day = F.datediff("o_orderdate", F.lit("1970-01-01").cast("date"))
+    ends = table(spark, sf_dir, "orders").agg(F.min(day).alias("low"), F.max(day).alias("high")).first()
+    low, high = ends["low"] or 0, ends["high"] or 0
+    middle, after = (low + high) // 2, low + (high - low) // 4
+    border = F.lit(lsn(middle))
+    rows = [("dbo", "ORDERS", "dbo_ORDERS", "[Id]", low, lsn(low)), ("dbo", "ORDERS", "dbo_ORDERS_2", "[Id]", middle, lsn(middle))]
+    captures = spark.createDataFrame(rows, "schema_name string, table_name string, capture_instance string, index_column_list string, day int, start_lsn binary")
+    captures = captures.withColumn("create_date", F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")).cast("timestamp_ntz")).drop("day")
+    tables = {"dbo_ORDERS": changes.drop("Create_Date"), "dbo_ORDERS_2": changes.where(F.col("start_lsn") >= border).drop("Mark")}
+    before = changes.where((F.col("start_lsn") > F.lit(lsn(after))) & (F.col("start_lsn") < border)).count()
+    return captures, tables, after, before
+
+
 def lsn(value: int) -> bytes:
     return value.to_bytes(10, "big")

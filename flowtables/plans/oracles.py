@@ -458,6 +458,18 @@ SELECT * FROM (
 ) WHERE missing <> 0""",
 }
 ORACLES["hop_sum_stream"] = ORACLES["hop_sum"]
+ORACLES["snapshot_store_stream"] = ORACLES["snapshot_merge"]
+ORACLES["mssql_changes_stream"] = ORACLES["mssql_changes"]
+ORACLES["fix_seq_gaps_stream"] = ORACLES["fix_seq_gaps"]
+ORACLES["mssql_poll_handover"] = f"""
+WITH {_IMAGES}, days AS (SELECT min(lsn) AS low, max(lsn) AS high FROM images),
+borders AS (SELECT (low + high) // 2 AS middle, low + (high - low) // 4 AS start FROM days),
+later AS (SELECT images.*, middle, row_number() OVER (ORDER BY lsn, seqno, operation) AS n FROM images, borders WHERE lsn > start),
+cut AS (SELECT max(lsn) AS top FROM later WHERE n <= 1000 + (SELECT count(*) FROM later WHERE lsn < middle))
+SELECT CASE WHEN lsn < middle THEN 'dbo_ORDERS' ELSE 'dbo_ORDERS_2' END AS capture_instance, {_hex10('lsn')} AS start_lsn, {_hex10('seqno')} AS seqval,
+       operation, id AS "Id", s AS "Sum", CASE WHEN lsn < middle THEN hex(encode(pr)) END AS "Mark",
+       CASE WHEN lsn >= middle AND st <> 'P' THEN strftime(d, '%Y-%m-%d') END AS "Create_Date"
+FROM later WHERE lsn <= (SELECT top FROM cut)"""
 ORACLES["hop_minmax"] = _window(
     ["event_type"], "min(v)::DOUBLE AS lowest, max(v)::DOUBLE AS highest, first(v ORDER BY us, v)::DOUBLE AS opened, last(v ORDER BY us, v)::DOUBLE AS closed", 300, 60)
 ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)

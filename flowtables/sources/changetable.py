@@ -7,6 +7,8 @@ Log sequence numbers are compared as bytes; byte order is log order.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from flowtables.functions.text import bracket_list
@@ -63,3 +65,30 @@ def choose_capture(captures: DataFrame, offset_lsn: bytes | None = None) -> Data
         F.col("c.create_date").alias("create_date"),
         F.when(F.col("c").isNull(), F.lit("there must be one or two captures")).alias("error"),
     )
+
+
+def poll_captures(
+    captures: DataFrame, tables: Mapping[str, DataFrame], schema: str, table: str, after_lsn: bytes | None = None,
+    start_date: str | None = None, max_rows: int = 1000,
+) -> DataFrame | None:
+    """As :func:`poll`, over the capture instances of one source table; adds ``capture_instance``.
+
+    ``captures`` as in :func:`choose_capture`; ``tables`` maps instance names to change tables.
+    With two instances the older one counts below the start LSN of the newer one and the newer one from there on, so
+    a poll may begin in one and end in the other, and a change that both
+    hold comes once. Without an offset only the newer one is read, after ``start_date``, else after its creation.
+    Columns are matched by name; one that an instance lacks is null in its rows.
+    None if there are no instances or more than two: then a saved offset means nothing any more.
+    """
+    of_table = captures.where((F.col("schema_name") == schema) & (F.col("table_name") == table))
+    found = of_table.select("capture_instance", "create_date", "start_lsn").orderBy("create_date").limit(3).collect()
+    if len(found) not in (1, 2):
+        return None
+    named = [tables[r["capture_instance"]].withColumn("capture_instance", F.lit(r["capture_instance"])) for r in found]
+    if after_lsn is None and start_date is None:
+        return poll(named[-1].where(F.col("trx_time") > F.lit(found[-1]["create_date"])), max_rows=max_rows)
+    if after_lsn is None or len(found) == 1:
+        return poll(named[-1], after_lsn, start_date, max_rows)
+    border = F.lit(bytes(found[-1]["start_lsn"]))
+    rows = named[0].where(F.col("start_lsn") < border).unionByName(named[1].where(F.col("start_lsn") >= border), allowMissingColumns=True)
+    return poll(rows, after_lsn, max_rows=max_rows)
