@@ -77,3 +77,42 @@ def test_text_helpers(spark):
     assert df.select(text.bracket_list(F.lit("[A], [B C]")), text.bracket_list(F.lit(""))).first()[:] == (["A", "B C"], None)
     numbers = spark.createDataFrame([(v,) for v in ["+5", "007", ".5", "-.5", "5.", "1.50", "-0", "1e5", "00.1"]], "v string")
     assert [r[0] for r in numbers.select(text.json_number(F.col("v"))).collect()] == ["5", "7", "0.5", "-0.5", "5", "1.50", "-0", "1e5", "0.1"]
+
+
+CAPTURES = "schema_name string, table_name string, capture_instance string, index_column_list string, create_date timestamp, start_lsn binary"
+
+
+def captures(spark, *instances):
+    return spark.createDataFrame([("dbo", "person", name, "[Id]", DAY + dt.timedelta(minutes=m), lsn(l)) for name, m, l in instances]
+                                 + [("dbo", "other", "o", "[Id]", DAY, lsn(1)), ("x", "person", "p", "[Id]", DAY, lsn(1))], CAPTURES)
+
+
+def polled(spark, instances, tables, **options):
+    got = changetable.poll_captures(captures(spark, *instances), tables, "dbo", "person", **options)
+    return None if got is None else sorted((int.from_bytes(r.start_lsn, "big"), r.operation, r.Name, r.capture_instance) for r in got.collect())
+
+
+def test_poll_across_captures(spark):
+    """The older instance up to the start of the newer one, each change once, columns by name; creation dates; none or too many."""
+    old, two = rows(spark, LOG), [("new", 5, 7), ("old", 0, 1)]
+    later = dt.timedelta(minutes=10)
+    new = rows(spark, [x for x in LOG if x[0] >= 7]).drop("Age").withColumn("trx_time", F.lit(DAY + later)).withColumn("Extra", F.lit("e"))
+    tables = {"old": old, "new": new}
+    first = [(6, 3, "George", "old"), (6, 3, "ddd", "old"), (6, 4, "George", "old"), (6, 4, "ddd", "old")]
+    second = [(7, 1, "George", "new"), (8, 4, "orphan", "new")]
+    assert polled(spark, two, tables, after_lsn=lsn(5)) == first + second
+    assert polled(spark, two, tables, after_lsn=lsn(5), max_rows=1) == first
+    assert polled(spark, two, tables, after_lsn=lsn(5), max_rows=5) == first + second[:1]
+    assert polled(spark, two, tables, after_lsn=lsn(7)) == second[1:]
+    assert polled(spark, two, tables, after_lsn=lsn(8)) == []
+    assert polled(spark, two, tables) == second
+    assert polled(spark, [("new", 10, 7), ("old", 0, 1)], tables) == []  # nothing after the moment of creation
+    assert polled(spark, two, tables, start_date="2021-03-25 17:52:00") == second
+    assert polled(spark, [("old", -1, 1)], tables) == sorted((l, op, n, "old") for l, _, op, _, n, _ in LOG)
+    assert polled(spark, [("old", 0, 1)], tables, after_lsn=lsn(7)) == [(8, 4, "orphan", "old")]
+    assert polled(spark, [], tables) is None
+    assert polled(spark, [("old", 0, 1), ("new", 1, 2), ("third", 2, 3)], tables) is None
+    across = changetable.poll_captures(captures(spark, *two), tables, "dbo", "person", lsn(6)).orderBy("start_lsn")
+    assert [(r.Age, r.Extra) for r in across.collect()] == [(None, "e"), (None, "e")]
+    mixed = changetable.poll_captures(captures(spark, *two), tables, "dbo", "person", lsn(5)).where("capture_instance = 'old'").first()
+    assert mixed.Extra is None and mixed.Age is not None
