@@ -71,31 +71,23 @@ def bucketed_rank(df: DataFrame, groups: list[str], order: list[str], rows_per_b
     total = df.count()
     buckets = max(1, -(-total // rows_per_bucket))
     key = F.xxhash64(*order)
-    rows = df.withColumn("_bucket", F.pmod(key, F.lit(buckets)).cast("int"))
+    # one struct serves grouping, window and join, so the join leaves the rows where the window needs them; null keys are equal inside it
+    place = F.struct(F.struct(*groups, F.lit(0).alias("_one")).alias("of"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"))
+    rows = df.withColumn("_place", place)
     amount = F.col(weight).cast("long") if weight else F.lit(0).cast("long")
-    sizes = rows.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_w"))
-    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    same = [F.col(f"r.{g}").eqNullSafe(F.col(f"o.{g}")) for g in [*groups, "_bucket"]]
+    sizes = rows.groupBy("_place").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_w"))
+    earlier = Window.partitionBy("_place.of").orderBy("_place.bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *groups, "_bucket",
+        "_place",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"),
         F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(*groups, "_bucket").orderBy(key, *order)
+    within = Window.partitionBy("_place").orderBy(key, *order)
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.withColumn("_row", F.row_number().over(within) - 1)
     if weight:
         ranked = ranked.withColumn("_sum", F.coalesce(F.sum(amount).over(before), F.lit(0)))
-    joined = ranked.alias("r").join(offsets.alias("o"), _all(same))
-    extra = [(F.col("r._sum") + F.col("o._base")).alias("_before")] if weight else []
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns],
-                         (F.col("r._row") + F.col("o._first")).cast("long").alias("_rank"), *extra)
-
-
-def _all(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+    extra = [(F.col("_sum") + F.col("_base")).alias("_before")] if weight else []
+    return ranked.join(offsets, "_place").select(*df.columns, (F.col("_row") + F.col("_first")).cast("long").alias("_rank"), *extra)
 
 
 BLOOM_BITS = 2**26  # at most; 8 MB
