@@ -137,12 +137,13 @@ def merge_states(states: DataFrame, groups: Sequence[str], aggregates: Sequence[
 
 def window_results(
     states: DataFrame, groups: Sequence[str], aggregates: Sequence[Aggregate],
-    window: int = WINDOW_SECONDS, hop: int = HOP_SECONDS, separator: str = "",
+    window: int = WINDOW_SECONDS, hop: int = HOP_SECONDS, separator: str = "", ends: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Groups, one column per aggregate, begin_date, end_date, aggregation_id: a row per group and window with rows.
 
     A pane may be in several rows of ``states``. Windows begin at multiples of ``hop`` seconds, or end there if hops are
-    longer than windows; they are closed at their begin and open at their end.
+    longer than windows; they are closed at their begin and open at their end. ``ends`` (seconds) takes
+    only windows that end after the first and not after the second.
     """
     _check(aggregates, window, hop)
     width = gcd(window, hop)
@@ -150,6 +151,8 @@ def window_results(
     latest = _floored(pane, hop) + (hop - window if hop > window else 0)
     begins = F.transform(F.sequence(F.lit(0), F.lit(max(0, -(-window // hop) - 1))), lambda i: latest - i * hop)
     inside = F.filter(begins, lambda b: (b <= pane) & (b + window >= pane + width))
+    if ends is not None:
+        inside = F.filter(inside, lambda b: (b + window > F.lit(ends[0])) & (b + window <= F.lit(ends[1])))
     merged = (
         states.withColumn("_begin", F.explode(inside)).groupBy(*groups, "_begin")
         .agg(*[s for a in aggregates for s in a.merged()])

@@ -13,7 +13,7 @@ from flowtables.plans.derived import REDO_TABLES, money, table
 from flowtables.session import scratch_dir
 from flowtables.sinks import bulk, replicate as replication, topics as topic_sink
 from flowtables.sources import changelog, changetable, frames, incremental, json_messages, positioned, topics
-from flowtables.streaming import gate as gate_stream, keyed_store, pairing, panes as pane_stream, sequences, snapshot as snapshot_stream, waiting, windows as window_stream
+from flowtables.streaming import arrival, gate as gate_stream, keyed_store, pairing, panes as pane_stream, sequences, snapshot as snapshot_stream, waiting, windows as window_stream
 
 SECRET = "a shared secret for the field plan"
 HASH_SECRET = "another secret"
@@ -110,6 +110,27 @@ def hop_minmax_stream(spark, sf_dir):
     return pane_stream.read_windows(spark, f"{root}/states", groups, aggregates, **windows)
 
 
+def hop_arrival_stream(spark, sf_dir):
+    """Windows over arrival time, of two days every day: the events come in six parts, each as late as its newest event, in six runs."""
+    root = scratch_dir(spark, "hop_arrival_stream")
+    source = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("user_id").cast("long").alias("user_id"))
+    span = source.agg(F.unix_seconds(F.min("ts")).alias("low"), F.unix_seconds(F.max("ts")).alias("top")).first()
+    low, step = span["low"] or 0, ((span["top"] or 0) - (span["low"] or 0)) // 6 + 1
+
+    def newest(rows: DataFrame) -> float:
+        return rows.agg(F.unix_seconds(F.max("ts"))).first()[0] or 0
+
+    aggregates = [panes.count("events"), panes.total("users", F.col("user_id"))]
+    for part in range(6):
+        inside = source.where(F.floor((F.unix_seconds("ts") - low) / step) == part)
+        inside.write.mode("append").parquet(f"{root}/in")
+        events = spark.readStream.schema(source.schema).parquet(f"{root}/in")
+        arrival.start_arrival_windows(
+            events, ["event_type"], aggregates, f"{root}/out", f"{root}/state", f"{root}/checkpoint",
+            window=172_800, hop=86_400, clock=newest, fold_every=2).awaitTermination()
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 # ---- redo log -------------------------------------------------------------------
 
 def _log(spark, sf_dir) -> DataFrame:
@@ -597,7 +618,7 @@ def fix_seq_gaps_stream(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         hop_sum, hop_count, hop_weighted_count, hop_avg, tumbling_sum, sampled_window_sum, hop_sum_stream, hop_sum_json,
-        hop_minmax, hop_distinct, hop_minmax_stream,
+        hop_minmax, hop_distinct, hop_minmax_stream, hop_arrival_stream,
         cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_committed_positioned, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
         change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply, snapshot_store_stream,

@@ -474,5 +474,22 @@ ORACLES["hop_minmax"] = _window(
     ["event_type"], "min(v)::DOUBLE AS lowest, max(v)::DOUBLE AS highest, first(v ORDER BY us, v)::DOUBLE AS opened, last(v ORDER BY us, v)::DOUBLE AS closed", 300, 60)
 ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)
 ORACLES["hop_minmax_stream"] = ORACLES["hop_minmax"]
+# an event arrives with its sixth of the time span, at the time of the newest event there
+ORACLES["hop_arrival_stream"] = f"""
+WITH e AS (
+  SELECT CAST(event_type AS VARCHAR) AS event_type, user_id AS u, epoch_us(ts) // 1000000 AS s FROM events
+), span AS (
+  SELECT min(s) AS low, (max(s) - min(s)) // 6 + 1 AS step, max(s) AS top FROM e
+), parts AS (
+  SELECT event_type, u, max(s) OVER (PARTITION BY (s - low) // step) AS a, top FROM e, span
+), x AS (
+  SELECT event_type, u, (a // 86400 - k) * 86400 AS b FROM parts, (SELECT unnest(range(0, 2)) AS k) shifts
+  WHERE (a // 86400 - k + 2) * 86400 <= top
+)
+SELECT event_type, count(*) AS events, sum(u)::BIGINT AS users,
+       strftime(make_timestamp(b * 1000000), '{ISO}') AS begin_date,
+       strftime(make_timestamp((b + 172800) * 1000000), '{ISO}') AS end_date,
+       base64(encode(event_type)) AS aggregation_id
+FROM x GROUP BY event_type, b"""
 ORACLES["cdc_stream_resume"] = ORACLES["cdc_all"]
 ORACLES["cdc_committed_positioned"] = ORACLES["cdc_committed"]
