@@ -27,9 +27,9 @@ def _join_bundle(record: str, demarcator: str) -> Column:
 
 def bundle_by_count(
     df: DataFrame, keys: Sequence[str], pos: str, record: str, size: int = BUNDLE_RECORDS,
-    demarcator: str = "\n", dense: bool = False, width: int | None = None,
+    demarcator: str = "\n", dense: bool = False, width: int | None = None, also: Sequence[Column] = (),
 ) -> DataFrame:
-    """Bundles of ``size`` records per key, in order; the last may be smaller.
+    """Bundles of ``size`` records per key, in order; the last may be smaller. ``also``: further aggregates of a bundle.
 
     ``dense`` says that ``pos`` already counts 0, 1, 2, .. inside each key. A
     bundle holds at most ``size`` records, so no group grows with the data.
@@ -41,7 +41,7 @@ def bundle_by_count(
     return (
         numbered.withColumn("bundle", F.floor(F.col("_pos") / size).cast("long"))
         .groupBy(*keys, "bundle")
-        .agg(F.count("*").alias("records"), _join_bundle(record, demarcator).alias("content"))
+        .agg(F.count("*").alias("records"), _join_bundle(record, demarcator).alias("content"), *also)
     )
 
 

@@ -287,6 +287,11 @@ def bulk_actions(spark, sf_dir):
     return bulk.bulk_actions(_change_events(spark, sf_dir))
 
 
+def bulk_bodies(spark, sf_dir):
+    """Request bodies of 1000 events over the whole log."""
+    return bulk.bulk_bodies(_change_events(spark, sf_dir))
+
+
 def _insert_documents(spark, sf_dir) -> DataFrame:
     log = changelog.scan_all(_log(spark, sf_dir), ORDERS_ONLY).where("operation = 'INSERT'")
     return snapshot.to_documents(redo_events.change_events(log))
@@ -459,7 +464,8 @@ def quarantine_split(spark, sf_dir):
     c = _customers(spark, sf_dir)
     sealed = crypto.encrypt(F.col("c_name"), SECRET, crypto.parse_iv(IV))
     mixed = c.withColumn("c_name", F.when(F.col("c_mktsegment") == "BUILDING", sealed).otherwise(F.col("c_name")))
-    good, bad = quarantine.split(field_crypto.apply_plan(mixed, [_step("c_name", "decrypt")], IV))
+    good, bad = quarantine.write_split(
+        field_crypto.apply_plan(mixed, [_step("c_name", "decrypt")], IV), scratch_dir(spark, "quarantine_split"))
     return good.select("c_custkey", "c_name", F.lit("ok").alias("outcome")).unionByName(
         bad.select("c_custkey", "c_name", F.lit("rejected").alias("outcome")))
 
@@ -621,7 +627,7 @@ QUERIES = {
         hop_minmax, hop_distinct, hop_minmax_stream, hop_arrival_stream,
         cdc_all, cdc_committed, cdc_committed_stream, cdc_stream_resume, cdc_committed_positioned, cdc_resume_offset, log_segments,
         redo_insert, redo_update, redo_delete, redo_types, redo_long_text, change_events, event_json,
-        change_to_doc, bulk_actions, snapshot_merge, snapshot_stream_apply, snapshot_store_stream,
+        change_to_doc, bulk_actions, bulk_bodies, snapshot_merge, snapshot_stream_apply, snapshot_store_stream,
         mssql_poll, mssql_poll_handover, mssql_changes, mssql_changes_stream, mssql_key_values, topic_payload, capture_choice,
         crypto_encrypt, crypto_roundtrip, crypto_json, crypto_hmac, crypto_plan, quarantine_split,
         incremental_plan, incremental_batch, replicate,

@@ -474,6 +474,10 @@ ORACLES["hop_minmax"] = _window(
     ["event_type"], "min(v)::DOUBLE AS lowest, max(v)::DOUBLE AS highest, first(v ORDER BY us, v)::DOUBLE AS opened, last(v ORDER BY us, v)::DOUBLE AS closed", 300, 60)
 ORACLES["hop_distinct"] = _window(["event_type"], "count(DISTINCT u) AS users, count(*) AS events, sum(u % 7)::BIGINT AS bits", 250, 100)
 ORACLES["hop_minmax_stream"] = ORACLES["hop_minmax"]
+ORACLES["bulk_bodies"] = f"""
+WITH lines AS ({ORACLES["bulk_actions"]}), n AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS p FROM lines)
+SELECT p // 1000 AS bundle, min(seq)::BIGINT AS first_seq, max(seq)::BIGINT AS last_seq, count(*) AS records,
+       string_agg(body, chr(10) ORDER BY p) || chr(10) AS content FROM n GROUP BY 1"""
 # an event arrives with its sixth of the time span, at the time of the newest event there
 ORACLES["hop_arrival_stream"] = f"""
 WITH e AS (

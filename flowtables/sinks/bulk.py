@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from flowtables.functions.ordered import row_position
 from flowtables.functions.text import index_name
+from flowtables.operators.bundles import bundle_by_count
 from flowtables.operators.redo_events import document_json
 
+# --- fixed values: default limit ------------------------------------------------
+BODY_EVENTS = 1000
+# ------------------------------------------------------------------------------
 
-def bulk_actions(events: DataFrame) -> DataFrame:
+
+def bulk_actions(events: DataFrame, *carried: str) -> DataFrame:
     """Change events as bulk text, one row per event.
 
     A delete is one action line; every other change is an index action line and
-    the document line. Ids and names are escaped as JSON.
+    the document line. Ids and names are escaped as JSON. ``carried`` columns are kept.
     """
     action = F.when(F.col("type") == "delete", "delete").otherwise("index")
     target = F.to_json(F.struct(
@@ -21,7 +27,20 @@ def bulk_actions(events: DataFrame) -> DataFrame:
     ))
     head = F.concat(F.lit('{"'), action, F.lit('":'), target, F.lit("}"))
     doc = F.when(action == "index", document_json(F.col("columns")))
-    return events.select(F.col("seq").cast("long").alias("seq"), F.concat_ws("\n", head, doc).alias("body"))
+    return events.select(*carried, F.col("seq").cast("long").alias("seq"), F.concat_ws("\n", head, doc).alias("body"))
+
+
+def bulk_bodies(events: DataFrame, size: int = BODY_EVENTS, width: int | None = None) -> DataFrame:
+    """One request body for every ``size`` events in order: ``bundle``, ``first_seq``, ``last_seq``, ``records``, ``content``.
+
+    Events are in order of ``seq``, then of database, table and row. Every line of a body ends with a line
+    break. The last body may hold fewer events; no events give no body. Bodies are put together in
+    parallel, each from at most ``size`` events.
+    """
+    place = ("database", "table_name", "row_id")
+    lines = row_position(bulk_actions(events, *place), [], "seq", "_pos", ties=place, width=width)
+    also = [F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")]
+    return bundle_by_count(lines, [], "_pos", "body", size, dense=True, also=also).select("bundle", "first_seq", "last_seq", "records", "content")
 
 
 def write_bulk(bodies: DataFrame, path: str, compression: str = "none") -> None:
