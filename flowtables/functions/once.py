@@ -10,8 +10,9 @@ def with_columns_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     A filter on a computed column is normally pushed below the projection, and
     its expressions are then evaluated a second time. A one-element generator
-    keeps them in place; it adds no shuffle and stays in generated code.
+    above the projection keeps them in place; it adds no shuffle, and the projection
+    works out once what its expressions share.
     """
     keep = [c for c in df.columns if c not in columns]
-    computed = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(computed)))
+    worked = df.select(*keep, *[c.alias(n) for n, c in columns.items()])
+    return worked.select(*keep, F.inline(F.array(F.struct(*columns))))

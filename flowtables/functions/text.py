@@ -7,6 +7,8 @@ from pyspark.sql import Column, functions as F
 # --- fixed values -----------------------------------------------------------
 # characters removed from search-index names: white space _ + - < > " * / ? \
 INDEX_NAME_STRIP = r'[\s_+\-<>"*/?\\]'
+# text that stands in a JSON literal as it is
+PLAIN_JSON_TEXT = r"\A[ !#-.0-\[\]-~]*+\z"
 # text of window bounds
 WINDOW_BOUND_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # text of date columns in SQL Server style row changes
@@ -59,8 +61,10 @@ def value_text(col: Column, sql_type: str, date_format: str | None = CHANGE_DATE
 def json_text(col: Column) -> Column:
     """A string column as a JSON string literal; null becomes ``null``."""
     quoted = F.to_json(F.array(col))
-    return F.when(col.isNull(), F.lit("null")).otherwise(
-        F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    return (
+        F.when(col.isNull(), F.lit("null"))
+        .when(col.rlike(PLAIN_JSON_TEXT), F.concat(F.lit('"'), col, F.lit('"')))
+        .otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
     )
 
 

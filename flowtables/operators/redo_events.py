@@ -8,6 +8,8 @@ from flowtables.functions import redo
 from flowtables.functions.once import with_columns_once
 from flowtables.functions.text import json_number, json_text, timestamp_text
 
+# a decimal text that is a JSON number as it stands
+PLAIN_NUMBER = r"^-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?$"
 TOKENS = "struct<names:array<string>,values:array<string>>"
 
 
@@ -118,17 +120,21 @@ def change_events(df: DataFrame, with_xid: bool = False, **options: bool) -> Dat
 
 
 def _json_value(value: Column, kind: Column) -> Column:
-    return F.when((kind == "number") & redo.is_number(value), json_number(value)).otherwise(json_text(value))
+    number = F.when(value.rlike(PLAIN_NUMBER), value).when(redo.is_number(value), json_number(value))
+    return F.coalesce(F.when(kind == "number", number), json_text(value))
 
 
 def document_json(columns: Column) -> Column:
     """Columns array as one flat JSON object; the last of equal names wins."""
-    def member(name: Column) -> Column:
-        c = F.element_at(F.filter(columns, lambda x: x["name"] == name), -1)
-        return F.concat(json_text(name), F.lit(":"), _json_value(c["value"], c["column_type"]))
-
     names = F.array_distinct(columns["name"])
-    return F.concat(F.lit("{"), F.array_join(F.transform(names, member), ","), F.lit("}"))
+    last = F.transform(names, lambda name: F.element_at(F.filter(columns, lambda x: x["name"] == name), -1))
+    # names are seldom equal: then each entry is its own last
+    entries = F.when(F.size(names) == F.size(columns), columns).otherwise(last)
+
+    def member(c: Column) -> Column:
+        return F.concat(json_text(c["name"]), F.lit(":"), _json_value(c["value"], c["column_type"]))
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(entries, member), ","), F.lit("}"))
 
 
 def event_json(df: DataFrame) -> DataFrame:

@@ -158,3 +158,12 @@ def test_document_json(spark):
     sql = "insert into T(A,B,C,D,A) values ('007','+.50','q\"\\',NULL,'last');"
     df = redo_events.redo_columns(spark.createDataFrame([(sql,)], "sql_redo string"))
     assert df.select(redo_events.document_json(F.col("columns"))).first()[0] == '{"A":"last","B":0.50,"C":"q\\"\\\\","D":null}'
+
+
+def test_a_document_looks_up_each_name_once(spark):
+    kind = "array<struct<name string, value string, column_type string, last_value string>>"
+    rows = [([("A", "1", "number", None), ("A", "007", "number", None), ("B", "a/bé\n", "varchar", None), ("C", "", "varchar", None), ("D", "-0.10", "number", None)],),
+            ([("A", "+.5", "number", None), ("B", "x", "number", None), ("C", None, None, None)],), ([],), (None,)]
+    out = spark.createDataFrame(rows, f"columns {kind}").select(redo_events.document_json(F.col("columns")).alias("doc"))
+    assert [r.doc for r in out.collect()] == ['{"A":7,"B":"a/bé\\n","C":"","D":-0.10}', '{"A":0.5,"B":"x","C":null}', "{}", None]
+    assert out._jdf.queryExecution().analyzed().toString().count("filter(") == 1
