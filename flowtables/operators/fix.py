@@ -18,6 +18,8 @@ from flowtables.functions.ordered import previous_value
 
 MISSING = "FieldNotFound"
 BAD_VALUE = "IncorrectDataFormat"
+MANY = 1_000_000_000  # more than a group has entries
+_AS_WRITTEN = {"allowUnquotedControlChars": "true"}
 
 
 def tags(raw: Column) -> Column:
@@ -43,13 +45,27 @@ def _is_type(raw: Column, msg_type: str) -> Column:
     return raw.contains(X.SOH + pair) | raw.startswith(pair)
 
 
-def _text(message: Column, tag: int) -> Column:
-    """Value of a tag in a message that starts with SOH; null when absent.
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+
+
+def _members(pairs: Column) -> Column:
+    """Escaped pairs that start with SOH each, as members of a JSON object that follow a first text; what has no tag is named ``_``."""
+    return F.replace(F.regexp_replace(pairs, rf"{X.SOH}(\d++)=", '","$1":"'), F.lit(X.SOH), F.lit('","_":"'))
+
+
+def _texts(message: Column, wanted: Sequence[int]) -> Column:
+    """Struct of the values of tags, by tag, in a message that starts with SOH; null when absent.
 
-    Plain text search: it stays in generated code and needs no regular
-    expression. A field repeats only inside groups; if one does elsewhere, its
-    last value counts.
+    One pass over the message, however many tags are wanted. A field repeats only inside groups; if one does
+    elsewhere, its last value counts.
     """
+    inside = F.concat(F.lit('{"_":"'), _members(_escaped(message)), F.lit('"}'))
+    return F.from_json(inside, ",".join(f"`{t}` string" for t in wanted), _AS_WRITTEN)
+
+
+def _text(message: Column, tag: int) -> Column:
+    """Value of one tag in a message that starts with SOH; null when absent."""
     mark = f"{X.SOH}{tag}="
     found = F.substring_index(F.substring_index(message, mark, -1), X.SOH, 1)
     return F.when(message.contains(mark), found)
@@ -99,15 +115,15 @@ def group_texts(message: Column, group: Group) -> Column:
     fields = group.fields
     start = f"{X.SOH}{fields[0].tag}="
     region = F.regexp_extract(message, group.pattern, 1)
-    pieces = F.split(region, start)
-    entries = F.slice(pieces, F.lit(2), F.size(pieces))
-
-    def entry(rest: Column) -> Column:
-        one = F.concat(F.lit(start), rest)
-        return F.struct(*[_text(one, f.tag).alias(f.name) for f in fields])
+    opened = F.replace(_escaped(region), F.lit(start), F.lit(f'"}},{{"{fields[0].tag}":"'))
+    inside = F.concat(F.lit('[{"_":"'), _members(opened), F.lit('"}]'))
+    kind = ",".join(f"`{f.tag}`:string" for f in fields)
+    named = ",".join(f"`{f.name}`:string" for f in fields)
+    found = F.from_json(inside, f"array<struct<{kind}>>", _AS_WRITTEN).cast(f"array<struct<{named}>>")
 
     has_group = message.contains(f"{X.SOH}{group.count_tag}=")
-    return F.transform(F.when(has_group, entries).otherwise(F.array().cast("array<string>")), entry)
+    # what stands before the first entry is no entry
+    return F.when(has_group, F.slice(found, 2, MANY)).otherwise(F.array().cast(f"array<struct<{named}>>"))
 
 
 def _typed_group(texts: Column, fields: Sequence[Field]) -> Column:
@@ -190,7 +206,8 @@ def _classify(df: DataFrame, specs: Sequence[Report], all_fields: bool) -> DataF
                 body = F.when(_is_type(F.col("raw"), r.code), without_group(F.col("_m"), r.group)).otherwise(body)
         found = {f"_g{g.count_tag}": group_texts(F.col("_m"), g) for g in groups}
         df = with_columns_once(df, {**found, **{f"_n{g.count_tag}": group_count(F.col("_m"), g) for g in groups}, "_m": body})
-    texts = {f"_t{tag}": _text(F.col("_m"), tag) for tag in sorted(fields | header)}
+    df = df.withColumn("_texts", _texts(F.col("_m"), sorted(fields | header)))
+    texts = {f"_t{tag}": F.col("_texts")[str(tag)] for tag in sorted(fields | header)}
     df = df.withColumns({**texts, **{f"_bad{code}": _bad_group(r) for code, r in reports.items()}})
 
     kind = _found(X.MSG_TYPE)

@@ -81,3 +81,16 @@ def test_sequence_gaps(spark):
     for width in (2, 100):
         got = sorted((r.session, r.seq, r.prev_seq, r.missing) for r in fix.sequence_gaps(df, ["session"], "seq", width).collect())
         assert got == [("a", 5, 2, 2), ("a", 5, 5, -1)]
+
+
+def test_texts_of_any_characters(spark):
+    odd = ('8=FIXT.1.1|35=8|34=7|no tag|35|=x|060=1|60=20240105-10:00:00|37=first|37=a "b" \\ {c}, \t\n\\u0041|17=|39=2=3|55|'
+           '555=2|600=l"1\\|602=|637=1|637=2|600=l,2}]|10=000|')
+    r = fix.executions(messages(spark, odd)).first()
+    assert (r.OrderID, r.ExecID, r.OrdStatus, r.Symbol) == ('a "b" \\ {c}, \t\n\\u0041', "", "2=3", None)
+    assert [(x.LegSymbol, x.LegSecurityID, x.LegLastPx) for x in r.NoLegs] == [('l"1\\', "", 2.0), ("l,2}]", None, None)]
+
+
+def test_a_message_is_not_searched_for_each_field(spark):
+    plan = fix.executions(messages(spark, EXECUTION))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("substring_index(") <= 4
