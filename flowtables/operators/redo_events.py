@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowtables.functions import redo
+from flowtables.functions import documents, redo
 from flowtables.functions.once import with_columns_once
 from flowtables.functions.text import json_number, json_text, timestamp_text
 
-# a decimal text that is a JSON number as it stands
+# a decimal text, and one that is a JSON number as it stands
+DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 PLAIN_NUMBER = r"^-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?$"
-TOKENS = "struct<names:array<string>,values:array<string>>"
 
 
 def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
@@ -22,52 +22,8 @@ def decode_redo(df: DataFrame, sql_col: str = "sql_redo") -> DataFrame:
     Text that does not decode from end to end gives empty arrays; the row is kept.
     """
     sql = F.col(sql_col)
-    kind = F.col("redo_kind")
-    empty = F.struct(redo.no_texts().alias("names"), redo.no_texts().alias("values")).cast(TOKENS)
-
-    # one pattern per row: each branch is evaluated only for its own statements
-    df = df.withColumn("redo_kind", redo.redo_kind(sql))
-    df = df.withColumns({
-        "_set": F.when(kind == "update", redo.set_clause(sql)),
-        "_where": F.when(kind.isin("update", "delete"), redo.where_clause(sql)),
-    })
-    df = df.withColumns({
-        "_set": redo.pair_tokens(F.col("_set"), redo.SET_WHOLE),
-        "_where": F.when(kind == "insert", redo.insert_tokens(sql)).otherwise(redo.pair_tokens(F.col("_where"), redo.WHERE_WHOLE)),
-    })
-    # an update without both clauses is undecodable
-    df = df.withColumns({
-        "_set": F.when(F.col("_where").isNotNull(), F.col("_set")),
-        "_where": F.when((kind != "update") | F.col("_set").isNotNull(), F.col("_where")),
-    })
-    df = df.withColumns({"_set": F.coalesce("_set", empty), "_where": F.coalesce("_where", empty)})
-    df = df.withColumns({
-        "_set": F.struct(redo.clean_names(F.col("_set.names")).alias("names"), F.col("_set.values").alias("values")),
-        "_where": F.struct(redo.clean_names(F.col("_where.names")).alias("names"), F.col("_where.values").alias("values")),
-    })
-    set_names, set_values = F.col("_set.names"), F.col("_set.values")
-    where_names, where_values = F.col("_where.names"), F.col("_where.values")
-    merged = F.coalesce(
-        F.concat(F.array_distinct(where_names), F.array_except(set_names, where_names)), redo.no_texts()
-    )
-    decoded = F.size(set_names) > 0
-
-    def current(name: Column) -> Column:
-        return F.coalesce(
-            redo.last_by_name(set_names, set_values, name),
-            redo.last_by_name(where_names, where_values, name),
-        )
-
-    is_update = kind == "update"
-    df = df.withColumn("names", F.when(is_update, F.when(decoded, merged).otherwise(redo.no_texts())).otherwise(where_names))
-    return with_columns_once(df, {
-        "names": F.col("names"),
-        "tokens": F.when(is_update, F.transform("names", current)).otherwise(where_values),
-        "before_tokens": F.when(
-            is_update & decoded,
-            F.transform("names", lambda n: redo.last_by_name(where_names, where_values, n)),
-        ),
-    }).drop("_set", "_where")
+    worked = with_columns_once(df, {"redo_kind": redo.redo_kind(sql), "_decoded": redo.decoded_tokens(sql)})
+    return worked.select(*[c for c in worked.columns if c != "_decoded"], "_decoded.*")
 
 
 def redo_columns(
@@ -81,24 +37,8 @@ def redo_columns(
 
     ``last_value`` is null where the WHERE image does not name the column.
     """
-    def clean(token: Column) -> Column:
-        return redo.clean_value(token, raw_quotes, null_literal)
-
-    def typed(token: Column) -> Column:
-        return redo.typed_text(token, clean(token))
-
-    def entry(name: Column, i: Column) -> Column:
-        token = F.get(F.col("tokens"), i)
-        before = F.get(F.col("before_tokens"), i)
-        return F.struct(
-            name.alias("name"),
-            typed(token).alias("value"),
-            F.when(token.isNotNull(), redo.column_type(token, clean(token), strict_types)).alias("column_type"),
-            typed(before).alias("last_value"),
-        )
-
-    decoded = decode_redo(df, sql_col)
-    return with_columns_once(decoded, {"columns": F.transform("names", entry)}).drop("names", "tokens", "before_tokens")
+    sql = F.col(sql_col)
+    return df.withColumns({"redo_kind": redo.redo_kind(sql), "columns": redo.decoded_columns(sql, raw_quotes, null_literal, strict_types)})
 
 
 def change_events(df: DataFrame, with_xid: bool = False, **options: bool) -> DataFrame:
@@ -120,12 +60,12 @@ def change_events(df: DataFrame, with_xid: bool = False, **options: bool) -> Dat
 
 
 def _json_value(value: Column, kind: Column) -> Column:
-    number = F.when(value.rlike(PLAIN_NUMBER), value).when(redo.is_number(value), json_number(value))
+    number = F.when(value.rlike(PLAIN_NUMBER), value).when(F.coalesce(value.rlike(DECIMAL_TEXT), F.lit(False)), json_number(value))
     return F.coalesce(F.when(kind == "number", number), json_text(value))
 
 
 def document_json(columns: Column) -> Column:
-    """Columns array as one flat JSON object; the last of equal names wins."""
+    """Columns array as one flat JSON object; the last of equal names wins. An expression; :func:`documents.document` is the same by batches."""
     names = F.array_distinct(columns["name"])
     last = F.transform(names, lambda name: F.element_at(F.filter(columns, lambda x: x["name"] == name), -1))
     # names are seldom equal: then each entry is its own last
@@ -142,20 +82,8 @@ def event_json(df: DataFrame) -> DataFrame:
 
     ``last_value`` appears only where a before value exists.
     """
-    def entry(c: Column) -> Column:
-        last = F.when(
-            c["last_value"].isNotNull(),
-            F.concat(F.lit(',"last_value":'), _json_value(c["last_value"], F.lit("number"))),
-        ).otherwise("")
-        return F.concat(
-            F.lit('{"name":'), json_text(c["name"]),
-            F.lit(',"value":'), _json_value(c["value"], c["column_type"]),
-            F.lit(',"column_type":'), json_text(c["column_type"]), last, F.lit("}"),
-        )
-
     heads = ["type", "timestamp", "table_name", "database", "row_id", "trx_code", "seq"]
     parts: list[Column] = []
     for name in heads:
         parts += [F.lit(f'"{name}":'), json_text(F.col(name)), F.lit(",")]
-    body = F.array_join(F.transform("columns", entry), ",")
-    return df.withColumn("value", F.concat(F.lit("{"), *parts, F.lit('"columns":['), body, F.lit("]}")))
+    return df.withColumn("value", F.concat(F.lit("{"), *parts, F.lit('"columns":['), documents.entries(F.col("columns")), F.lit("]}")))

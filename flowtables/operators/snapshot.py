@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowtables.operators.redo_events import document_json
+from flowtables.functions.documents import document
 
 KEYS = ("database", "table_name", "row_id")
 
@@ -20,7 +20,7 @@ def to_documents(events: DataFrame) -> DataFrame:
         *KEYS,
         F.col("seq").cast("long").alias("seq"),
         F.when(F.col("type") == "delete", "delete").otherwise("insert").alias("operation"),
-        document_json(F.col("columns")).alias("doc"),
+        document(F.col("columns")).alias("doc"),
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from flowtables.functions.documents import document
 from flowtables.functions.ordered import row_position
 from flowtables.functions.text import index_name
 from flowtables.operators.bundles import bundle_by_count
-from flowtables.operators.redo_events import document_json
 from flowtables.session import scratch_dir
 
 # --- fixed values: default limit ------------------------------------------------
@@ -27,7 +27,7 @@ def bulk_actions(events: DataFrame, *carried: str) -> DataFrame:
         F.col("row_id").alias("_id"),
     ))
     head = F.concat(F.lit('{"'), action, F.lit('":'), target, F.lit("}"))
-    doc = F.when(action == "index", document_json(F.col("columns")))
+    doc = F.when(action == "index", document(F.col("columns")))
     return events.select(*carried, F.col("seq").cast("long").alias("seq"), F.concat_ws("\n", head, doc).alias("body"))
 
 

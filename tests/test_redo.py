@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from flowtables.functions import documents
 from flowtables.operators import redo_events, snapshot
 from flowtables.operators.gate import committed_only, open_changes
 from flowtables.sources import changelog
@@ -167,3 +168,22 @@ def test_a_document_looks_up_each_name_once(spark):
     out = spark.createDataFrame(rows, f"columns {kind}").select(redo_events.document_json(F.col("columns")).alias("doc"))
     assert [r.doc for r in out.collect()] == ['{"A":7,"B":"a/bé\\n","C":"","D":-0.10}', '{"A":0.5,"B":"x","C":null}', "{}", None]
     assert out._jdf.queryExecution().analyzed().toString().count("filter(") == 1
+
+
+def test_statements_are_decoded_in_one_pass_over_arrow_batches(spark):
+    """No lambda per token in the plan, and a document reads the decoded columns without a way back through rows."""
+    rows = spark.createDataFrame([(INSERT, "R1")], "sql_redo string, row_id string").selectExpr(
+        "*", "'INSERT' as operation", "timestamp_ntz'2020-01-01 00:00:00' as ts", "'T' as seg_name", "'S' as seg_owner", "'x' as xid", "1L as scn")
+    docs = snapshot.to_documents(redo_events.change_events(rows))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "lambda" not in plan and "regexp_extract_all" not in plan
+    assert docs.first()["doc"] == '{"DATE":"2020-07-06T14:14:06","BANKA_NAME":"IBANK","TRX_CODE":"USD","SUM":1500}'
+
+
+def test_documents_by_batches_are_those_of_the_expression(spark):
+    kind = "array<struct<name string, value string, column_type string, last_value string>>"
+    texts = ["", "a/b\u00e9\n", 'q"\\', "\x01\x1f\x7f", "\\u001f", "+007", "-.5e3", "12\n", "1.", None]
+    rows = [([("A", t, k, None), ("B", "x", "varchar", None), ("A", t, k, None)][:n],) for t in texts for k in ("number", "varchar", None) for n in (1, 3)]
+    made = spark.createDataFrame([*rows, ([],), (None,)], f"columns {kind}").coalesce(1)
+    got = made.select(redo_events.document_json(F.col("columns")).alias("a"), documents.document(F.col("columns")).alias("b")).collect()
+    assert len(got) == len(rows) + 2 and all(r.a == r.b for r in got)
