@@ -523,6 +523,7 @@ def frame_stream_files(spark, sf_dir):
     docs.repartition("lang").sortWithinPartitions("lang", "doc_id").select("lang", "text").write.partitionBy("lang").text(root)
     ranged = spark.newSession()
     ranged.conf.set("spark.sql.files.maxPartitionBytes", 32 * 1024)
+    ranged.conf.set("spark.sql.files.maxPartitionNum", 256)  # a task takes many ranges; they stay as long as they are
     records = frames.read_framed(ranged, root)
     return records.select(F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), "pos", "record")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowtables.functions.ordered import next_value, previous_value, row_position
 from flowtables.operators import bundles
+from flowtables.plans import catalog
 from flowtables.sinks import topics as sink
 from flowtables.sources import frames, topics
 
@@ -156,3 +157,14 @@ def test_files_are_framed_by_ranges_as_if_read_whole(spark, folder, demarcator,
     for bad in (0, 128):
         with pytest.raises(ValueError):
             frames.read_framed(spark, folder, bad)
+
+
+def test_a_task_takes_many_ranges_of_a_captured_stream(spark, folder):
+    """More ranges of 32 KiB than tasks; every record is there, at its place."""
+    rows = [(i, f"l{i % 2}", "\n".join(f"{i:04d} {k:04d} {'x' * 90}" for k in range(300))) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    got = catalog.frame_stream_files(spark, folder).withColumn("task", F.spark_partition_id()).groupBy("lang").agg(
+        F.count("*").alias("n"), F.max("pos").alias("last"), F.collect_set("task").alias("tasks"),
+        F.count_if(F.col("record").startswith(F.format_string("%04d %04d", F.expr("2 * (pos div 300) + cast(substring(lang, 2) as int)"), F.expr("pos % 300")))).alias("placed")).collect()
+    assert sorted((r["lang"], r["n"], r["last"], r["placed"]) for r in got) == [("l0", 60000, 59999, 60000), ("l1", 60000, 59999, 60000)]
+    assert 1 < len({t for r in got for t in r["tasks"]}) <= 260 < sum(len(t) for _, _, t in rows) // 32768
