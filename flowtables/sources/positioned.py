@@ -20,6 +20,7 @@ import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
@@ -31,6 +32,8 @@ from pyspark.sql.types import BinaryType, IntegralType, StructType
 
 # --- fixed value: rows of a poll unless it is told otherwise --------------------
 MAX_ROWS = 1000
+# parts of a range of positions that are counted at once, 8 bytes each
+PARTS = 1 << 20
 # ------------------------------------------------------------------------------
 
 
@@ -163,25 +166,69 @@ class PositionedReader(DataSourceStreamReader):
         """Row groups that may hold positions in (low, high]."""
         return [g for g in self._row_groups() if (g[1] is None or low is None or g[1] > low) and (g[0] is None or high is None or g[0] <= high)]
 
-    def _positions(self, group: tuple, low) -> list:
+    def _positions(self, group: tuple, low) -> list | np.ndarray:
         with self.files.system.open_input_file(group[2]) as source:
             column = pq.ParquetFile(source).read_row_group(group[3], columns=[self.column])[self.column].drop_null()
         if low is not None:
             column = column.filter(pc.greater(column, pa.scalar(low, column.type)))
-        return column.to_pylist() if self.binary else column.to_numpy().tolist()
-
-    def latestOffset(self) -> dict:
-        """End of the next batch: the position of row number ``max_rows`` after the last end, or the last row there is."""
-        low = self._value(self.at)
-        due = sorted(self._due(low, None), key=lambda g: (g[0] is not None, g[0] if g[0] is not None else 0))
+        return column.to_pylist() if self.binary else column.to_numpy().astype(np.int64)
+
+    def _by_counts(self, due: list[tuple], low) -> int | None:
+        """Position of row number ``max_rows`` after ``low``, or the last one, from counts per part of the range it is in.
+
+        The range is narrowed until a part is one position. Never more than the positions of one row group are held.
+        """
+        begins = [g[0] for g in due if g[0] is not None]
+        ends = [g[1] for g in due if g[1] is not None]
+        for group in due:
+            if group[0] is None and len(found := self._positions(group, low)):
+                begins.append(int(found.min()))
+                ends.append(int(found.max()))
+        if not begins:
+            return None
+        first = min(begins) if low is None else max(min(begins), low + 1)
+        last, rows, highest = max(ends), self.max_rows, None
+        while first <= last:
+            width = -(-(last - first + 1) // PARTS)
+            counts, reached = np.zeros(PARTS, np.int64), None
+            for group in due:
+                if group[1] is not None and group[1] < first:
+                    continue
+                if group[0] is not None and group[0] > (last if reached is None else first + (reached + 1) * width - 1):
+                    break  # all that follow begin later
+                found = self._positions(group, low)
+                found = found[(found >= first) & (found <= last)]
+                if len(found):
+                    highest = max(int(found.max()), highest) if highest is not None else int(found.max())
+                part = (found.view(np.uint64) - np.uint64(first % 2**64)) // np.uint64(width)
+                counts += np.bincount(part.astype(np.int64), minlength=PARTS)
+                if counts.sum() >= rows:
+                    reached = int(np.searchsorted(np.cumsum(counts), rows))
+            if reached is None:
+                return highest  # fewer rows than a batch may have
+            if width == 1:
+                return first + reached
+            rows -= int(counts[:reached].sum())
+            first, last = first + reached * width, min(last, first + (reached + 1) * width - 1)
+        return highest
+
+    def _by_values(self, due: list[tuple], low) -> bytes | None:
+        """As :func:`_by_counts`, of binary positions; holds those of a batch."""
         nearest: list = []
         for i, group in enumerate(due):
             nearest = sorted(nearest + self._positions(group, low))[: self.max_rows]
             later = due[i + 1][0] if i + 1 < len(due) else None
             if len(nearest) == self.max_rows and i + 1 < len(due) and later is not None and later >= nearest[-1]:
                 break
-        if nearest:
-            self.at = self._text(nearest[-1])
+        return nearest[-1] if nearest else None
+
+    def latestOffset(self) -> dict:
+        """End of the next batch: the position of row number ``max_rows`` after the last end, or the last row there is."""
+        low = self._value(self.at)
+        due = sorted(self._due(low, None), key=lambda g: (g[0] is not None, g[0] if g[0] is not None else 0))
+        end = self._by_values(due, low) if self.binary else self._by_counts(due, low)
+        if end is not None:
+            self.at = self._text(end)
             self._promise(self.at)
         return {"after": self.at}
 

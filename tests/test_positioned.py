@@ -113,3 +113,19 @@ def test_gate_over_a_positioned_stream(spark, folder):
     ends = {x: [n for n, t, c in rows if t == x and c == changelog.COMMIT_CODE] for x in ("t0", "t1", "t2", "t3")}
     want = {(n, next((e for e in ends[x] if e >= n), None)) for n, x, c in rows if c == 1}
     assert got == {w for w in want if w[1] is not None} and len(spark.read.parquet(folder + "/out").select("batch").distinct().collect()) > 2
+
+
+@pytest.mark.parametrize("spread", [1, 5000, 2**43])
+def test_ends_of_batches_are_found_by_counts(spark, folder, spread):
+    """Row groups that overlap, with positions that repeat: every end is that of the sorted positions, and no list of them is held."""
+    rng = random.Random(spread)
+    positions = [rng.randrange(-400, 400) * spread + rng.choice([0, 1, spread - 1]) for _ in range(1500)]
+    schema = write(spark, [(p, "v") for p in positions] + [(None, "n")], folder + "/log", files=5)
+    reader = PositionedReader(schema, {"path": folder + "/log", "position": "pos", "max_rows": "170"})
+    left, got, want = sorted(positions), [], []
+    while left:
+        want.append(left[min(170, len(left)) - 1])
+        left = [p for p in left if p > want[-1]]
+        got.append(int(reader.latestOffset()["after"]))
+    assert got == want and reader.latestOffset() == {"after": str(want[-1])}
+    assert not isinstance(reader._positions(reader._row_groups()[0], None), list)
